@@ -7,13 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quern.llm import bpe, decontamination, simhash
+from quern.llm import bpe, decontamination, html, simhash, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and n-gram regression on the url of every page."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE round trip of every document."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,6 +35,11 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -38,8 +48,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op5_byte_bpe": op5_byte_bpe,
         "op8_winnowing": op8_winnowing,
+        "op9_html_field": op9_html_field,
         "op10_simhash": op10_simhash,
     }
 
