@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quern.llm import bpe, decontamination, html, simhash, urls
+from quern.llm import bpe, decontamination, html, simhash, spotsigs, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprints of every document, of its edited text, and their likeness."""
+    return spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words found in every document."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -50,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_spotsigs": op6_spotsigs,
         "op8_winnowing": op8_winnowing,
         "op9_html_field": op9_html_field,
         "op10_simhash": op10_simhash,

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 FEATURES = 1 << 15
 GRAMS = (3, 4, 5)
-THRESHOLD = 0.5
+THRESHOLD = 0.7
 
 #: The rules of the production query: verdict, host, path (fixed values).
 RULES = (
