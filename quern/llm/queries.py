@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quern.llm import bpe, decontamination, html, simhash, spotsigs, urls
+from quern.llm import bpe, decontamination, html, quality, simhash, spotsigs, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,22 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of the held-out quarter are not learnt from."""
+    docs, part = table(spark, sf_dir, "documents"), toxicity.remainder(F.col("doc_id"), 4)
+    model = quality.learn(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").filter(part != 2))
+    scored = quality.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", (part == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op4_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of the held-out fifth are not learnt from."""
+    docs, part = table(spark, sf_dir, "documents"), toxicity.remainder(F.col("doc_id"), 5)
+    model = toxicity.learn(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").filter(part != 0))
+    scored = toxicity.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", (part == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE round trip of every document."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -54,6 +70,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op3_rule_ensemble": op3_rule_ensemble,
+        "op4_string_kernel": op4_string_kernel,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_spotsigs": op6_spotsigs,
         "op8_winnowing": op8_winnowing,
