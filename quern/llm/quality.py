@@ -92,15 +92,17 @@ def fit(rows: DataFrame, label: str = "label") -> Model:
     Where a label is missing altogether, the score is the same for all: the share of ones, drawn to
     one half by two pseudo-rows.
     """
-    rows = rows.select(array_to_vector(F.array(*STATISTICS)).alias("features"), F.col(label).cast("double").alias("label"), *STATISTICS)
+    rows = rows.select(array_to_vector(F.array(*STATISTICS)).alias("features"), F.col(label).cast("double").alias("label"), *STATISTICS).cache()
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(sizes) < 2:
         ones, total = sizes.get(1.0, 0) + 1, sum(sizes.values()) + 2
         return Model([], math.log(ones / (total - ones)))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird", minInstancesPerNode=5).fit(rows)
     rules = list(dict.fromkeys(r for tree in forest.trees for r in tree_rules(tree.toDebugString)))
-    held = rows.select("label", array_to_vector(F.array(*[r.column().cast("double") for r in rules])).alias("features"))
-    lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=60, standardization=False).fit(held)
+    held = rows.select("label", array_to_vector(F.array(*[r.column().cast("double") for r in rules])).alias("features")).cache()
+    lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=40, standardization=False).fit(held)
+    rows.unpersist()
+    held.unpersist()
     return Model([(r, float(w)) for r, w in zip(rules, lasso.coefficients) if w], float(lasso.intercept))
 
 
@@ -111,11 +113,15 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """
     chosen = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("label")).distinct()
     chosen = chosen.orderBy(F.xxhash64("_key"), "_key", "label").limit(sample)
-    known = docs.join(F.broadcast(chosen), F.col(key) == F.col("_key"))
+    known = docs.select(key, text).join(F.broadcast(chosen), F.col(key) == F.col("_key"))
     rows = statistics(known, ["_key", "label"], text).coalesce(1).sortWithinPartitions("_key", "label", *STATISTICS)
     return fit(materialize(rows, "quality-sample").coalesce(1))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` and ``score`` (0 to 1, label 1 likelier when higher) of every row; repeats stay."""
-    return statistics(docs, keep, text).select(*keep, model.column().alias("score"))
+def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
+    """``keep`` and ``out`` (0 to 1, label 1 likelier when higher) of every row; repeats stay.
+
+    The kept columns travel as one struct, so their names can't clash with the statistics.
+    """
+    packed = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_body"))
+    return statistics(packed, ["_row"], "_body").select("_row.*", model.column().alias(out))

@@ -67,6 +67,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex("bits").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -77,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_winnowing": op8_winnowing,
         "op9_html_field": op9_html_field,
         "op10_simhash": op10_simhash,
+        "pipeline": pipeline,
     }
 
 

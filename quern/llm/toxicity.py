@@ -305,12 +305,12 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     usable = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).distinct()
     order = (F.xxhash64("_key"), "_key", "_label")
     chosen = usable.filter("_label = 1").orderBy(*order).limit(sample).union(usable.filter("_label = 0").orderBy(*order).limit(2 * sample))
-    known = docs.join(F.broadcast(chosen), F.col(key) == F.col("_key")).filter(F.length(text) <= most_chars)
+    known = docs.select(key, text).join(F.broadcast(chosen), F.col(key) == F.col("_key")).filter(F.length(text) <= most_chars)
     return fit(sorted((r["_text"], r["_label"]) for r in known.select(F.col(text).alias("_text"), "_label").collect()))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` and ``score`` (0 to 1, toxic likelier when higher) of every row's whole text.
+def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
+    """Columns ``keep`` and ``out`` (0 to 1, toxic likelier when higher) of every row's whole text.
 
     Null texts count as empty and get the score of a text without a word. Repeated rows stay.
     """
@@ -329,10 +329,10 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
                     group, size = [], 0
             if group:
                 scores += model.score(group).tolist()
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(scores, pa.float64())], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(scores, pa.float64())], names=[*keep, out])
 
-    out = T.StructType([*[docs.schema[c] for c in keep], T.StructField("score", T.DoubleType())])
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, out)
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(out, T.DoubleType())])
+    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
 def remainder(key: Column, n: int) -> Column:
