@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quern.llm import bpe, decontamination, html, quality, simhash, spotsigs, toxicity, urls
+from quern.llm import bpe, decontamination, html, language_model, quality, simhash, spotsigs, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op2_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document."""
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of the held-out quarter are not learnt from."""
     docs, part = table(spark, sf_dir, "documents"), toxicity.remainder(F.col("doc_id"), 4)
@@ -77,6 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op2_interpolation": op2_interpolation,
         "op3_rule_ensemble": op3_rule_ensemble,
         "op4_string_kernel": op4_string_kernel,
         "op5_byte_bpe": op5_byte_bpe,
