@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quern.llm import bpe, decontamination, html, language_model, quality, simhash, spotsigs, toxicity, urls
+from quern.llm import bpe, decontamination, html, language_model, quality, quotes, simhash, spotsigs, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,11 @@ def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op7_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation in reply order, without quotes."""
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words found in every document."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -87,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_string_kernel": op4_string_kernel,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_spotsigs": op6_spotsigs,
+        "op7_quote_links": op7_quote_links,
         "op8_winnowing": op8_winnowing,
         "op9_html_field": op9_html_field,
         "op10_simhash": op10_simhash,
