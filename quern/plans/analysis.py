@@ -207,7 +207,7 @@ TOPK = f"{FRAME}, r AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER
 @query(f"WITH {TOPK} SELECT group_id, max(label) AS label, {r6('avg(CASE WHEN n <= 3 THEN score END)')} AS score FROM r GROUP BY group_id")
 def group_aggregate_topk(spark, d):
     """AGG-10: group score by the mean of the three highest."""
-    return at6(evaluation.top_k_mean(b.frame(spark, d), "group_id", 3, "item_no"), "score")
+    return at6(evaluation.aggregate_groups(b.frame(spark, d), "group_id", "topk"), "score")
 
 
 @query(f"""WITH {FRAME}, g AS (SELECT group_id, max(CASE WHEN label = 1 AND score >= 0.2e0 THEN 1 ELSE 0 END) AS label, max(score) AS score FROM frame GROUP BY group_id), k AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2e0 AS rk FROM g),
