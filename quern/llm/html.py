@@ -182,32 +182,48 @@ class Field:
         return out[::-1]
 
 
-def fit(pages: Iterable[tuple[list[list[str]], list[bool]]], rounds: int = 80, rate: float = 0.3, l2: float = 1e-3) -> Field:
-    """Maximise the penalised log-likelihood of labelled pages by AdaGrad on exact gradients."""
+def fit(pages: Iterable[tuple[list[list[str]], list[bool]]], rounds: int = 250, rate: float = 0.3, l2: float = 2e-4) -> Field:
+    """Maximise the penalised log-likelihood of labelled pages by AdaGrad on exact gradients.
+
+    The forward and backward passes go over block places, all pages at once; pages shorter than
+    the longest are masked.
+    """
     pages = [(rows, labels) for rows, labels in pages if rows]
     index = {f: i for i, f in enumerate(sorted({f for rows, _ in pages for row in rows for f in row}))}
-    coded = [([np.array([index[f] for f in row]) for row in rows], np.array(labels, dtype=int)) for rows, labels in pages]
+    sizes = np.array([len(rows) for rows, _ in pages])
+    n, most = len(pages), int(sizes.max(initial=1))
+    flat = [row for rows, _ in pages for row in rows]
+    ids = np.array([index[f] for row in flat for f in row])
+    counts = np.array([len(row) for row in flat])
+    begins = np.cumsum(counts) - counts
+    page_of, place_of = np.repeat(np.arange(n), sizes), np.concatenate([np.arange(k) for k in sizes])
+    labels = np.zeros((n, most), dtype=int)
+    labels[page_of, place_of] = [int(y) for _, ys in pages for y in ys]
+    real = np.arange(most)[None, :] < sizes[:, None]
+    both = real[:, 1:]
+    seen_steps = np.array([[(both & (labels[:, :-1] == a) & (labels[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
     w, steps = np.zeros(len(index)), np.zeros((2, 2))
     sw, ss = np.full(len(index), 1e-8), np.full((2, 2), 1e-8)
     for _ in range(rounds):
-        gw, gs = -l2 * len(coded) * w, -l2 * len(coded) * steps
-        for rows, labels in coded:
-            own = np.array([[0.0, w[r].sum()] for r in rows])
-            n = len(rows)
-            ahead, behind = np.zeros((n, 2)), np.zeros((n, 2))
-            ahead[0] = own[0]
-            for k in range(1, n):
-                ahead[k] = own[k] + np.logaddexp(ahead[k - 1, 0] + steps[0], ahead[k - 1, 1] + steps[1])
-            for k in range(n - 2, -1, -1):
-                onward = own[k + 1] + behind[k + 1]
-                behind[k] = np.logaddexp(steps[:, 0] + onward[0], steps[:, 1] + onward[1])
-            whole = np.logaddexp(*ahead[-1])
-            main = np.exp(ahead[:, 1] + behind[:, 1] - whole)
-            for row, miss in zip(rows, labels - main):
-                gw[row] += miss
-            for k in range(1, n):
-                gs -= np.exp(ahead[k - 1][:, None] + steps + own[k][None, :] + behind[k][None, :] - whole)
-                gs[labels[k - 1], labels[k]] += 1
+        own = np.zeros((n, most, 2))
+        own[page_of, place_of, 1] = np.add.reduceat(w[ids], begins)
+        ahead, behind = np.zeros((n, most, 2)), np.zeros((n, most, 2))
+        ahead[:, 0] = own[:, 0]
+        for k in range(1, most):
+            new = own[:, k] + np.logaddexp(ahead[:, k - 1, :1] + steps[0], ahead[:, k - 1, 1:] + steps[1])
+            ahead[:, k] = np.where(real[:, k, None], new, ahead[:, k - 1])
+        for k in range(most - 2, -1, -1):
+            onward = own[:, k + 1] + behind[:, k + 1]
+            new = np.logaddexp(steps[:, 0] + onward[:, :1], steps[:, 1] + onward[:, 1:])
+            behind[:, k] = np.where(real[:, k + 1, None], new, 0.0)
+        whole = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
+        main = np.exp(ahead[..., 1] + behind[..., 1] - whole[:, None])
+        miss = (labels - main)[page_of, place_of]
+        gw = np.bincount(ids, weights=np.repeat(miss, counts), minlength=len(index)) - l2 * n * w
+        gs = seen_steps - l2 * n * steps
+        for a, b in ((0, 0), (0, 1), (1, 0), (1, 1)):
+            both_on = np.exp(ahead[:, :-1, a] + steps[a, b] + own[:, 1:, b] + behind[:, 1:, b] - whole[:, None])
+            gs[a, b] -= both_on[both].sum()
         sw += gw**2
         ss += gs**2
         w += rate * gw / np.sqrt(sw)
@@ -215,7 +231,7 @@ def fit(pages: Iterable[tuple[list[list[str]], list[bool]]], rounds: int = 80, r
     return Field({f: float(w[i]) for f, i in index.items()}, steps)
 
 
-def labelled_pages(count: int = 130, seed: int = 7) -> list[tuple[str, list[str]]]:
+def labelled_pages(count: int = 600, seed: int = 7) -> list[tuple[str, list[str]]]:
     """Labelled pages: markup with the blocks that are its main text.
 
     Drawn from common page layouts: main text in an article, main, section or named div, or bare;

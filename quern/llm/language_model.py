@@ -26,7 +26,7 @@ from quern.llm.storage import discard, materialize
 
 ORDER = 2
 #: Tokens of one pack, and tokens that a range of the hash space holds on average.
-PACK_TOKENS, RANGE_TOKENS = 800_000, 4_000_000
+PACK_TOKENS, RANGE_TOKENS = 350_000, 3_000_000
 #: Remainder of the held-out texts, and of the training texts that learn the mixtures, modulo FOLDS.
 FOLDS, HELD_OUT, MIXTURE_FOLD = 10, 0, 1
 ROUNDS = 60
@@ -295,13 +295,14 @@ def _weight_table(learnt: dict[int, np.ndarray], order: int) -> np.ndarray:
     return table / table.sum(axis=1, keepdims=True)
 
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER, weights: np.ndarray | None = None) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Tokens are the words and one end. Texts whose key's CRC-32 leaves HELD_OUT are not learnt from.
     ``base_score`` is the add-ADD unigram score and ``score`` the interpolated model's, both base-10
     logarithms of the whole text's probability. Null texts count as empty, a null key's fold is that
     of the empty text, and repeated rows are texts of their own. An empty table gives no rows.
+    ``weights`` (by bucket and estimate) take the place of learnt ones.
     """
     kind = docs.schema[key].dataType
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -361,8 +362,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int =
     own = mixture.select("pack").withColumn("mixed", F.lit(True))
     marked = counted.join(own, "pack", "left")
     mixture = with_counts(mixture, marked.filter("mixed"))
-    seen = mixture.mapInArrow(bins, "bin array<bigint>, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
-    weights = _weight_table(_expect({tuple(r["bin"]): float(r["n"]) for r in seen.collect()}, order), order)
+    if weights is None:
+        seen = mixture.mapInArrow(bins, "bin array<bigint>, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
+        weights = _weight_table(_expect({tuple(r["bin"]): float(r["n"]) for r in seen.collect()}, order), order)
     out = "key string, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     scored = with_counts(others, marked.filter("mixed is null")).mapInArrow(run(0), out).union(mixture.mapInArrow(run(1), out))
     return scored.select(F.col("key").cast(kind).alias(key), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -26,7 +26,11 @@ STATISTICS = ("n_chars", "n_words", "word_chars", "longest", "distinct", "repeat
 
 
 def statistics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` and the statistics of each whole text; null counts as empty."""
+    """``keep`` and the statistics of each whole text; null counts as empty.
+
+    They come out of a generator, below which no later filter is pushed: pushed down, it would
+    work out every statistic again for each use.
+    """
     base = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     base = base.select(*keep, "_text", F.filter(F.split("_text", r"\s+"), lambda w: w != "").alias("_words"))
     n = F.greatest(F.size("_words"), F.lit(1)).cast("double")
@@ -43,7 +47,7 @@ def statistics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
         "digits": F.regexp_count("_text", F.lit("[0-9]")) / chars,
     }
     found |= {name: (F.length("_text") - F.length(F.replace("_text", F.lit(mark)))) / n for name, mark in MARKS.items()}
-    return base.select(*keep, *[found[s].alias(s) for s in STATISTICS])
+    return base.select(*keep, F.inline(F.array(F.struct(*[found[s].alias(s) for s in STATISTICS]))))
 
 
 @dataclass(frozen=True)

@@ -88,7 +88,9 @@ def conversations(messages: DataFrame, conv: str = "conv_id", turn: str = "turn"
     them; without one the turn before in the conversation, and null for its first. ``position`` is
     the place in reply order: by turn, as a reply always follows what it answers, with ties in role
     and text order; rows without a turn come last. ``depth`` is the deepest quote. Rows with a null
-    conv_id are one conversation; null texts are empty; repeated rows stay.
+    conv_id are one conversation, but quotes of rows without a conv_id or turn are only taken off,
+    not counted or linked. Null texts are empty. Repeated rows stay, and rows of one conv_id and
+    turn share their counts.
     """
     base = messages.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     parsed = base.select("conv_id", "turn", "role", lines(F.col("text")).alias("parsed"))

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Row groups are small, so that a task which writes long values buffers little.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; where it is unset (tests), a local folder set once."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -27,7 +31,7 @@ def materialize(df: DataFrame, name: str, partition: str | None = None) -> DataF
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, partitionBy=partition)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path, partitionBy=partition)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)

@@ -25,8 +25,12 @@ SPAN = 6
 STRETCH = 20
 LANDMARKS = 400
 COST, ROUNDS = 4.0, 3
+#: Margin from which a word adds to its text's score.
+MARGIN = 0.4
+#: Texts of each label that the logistic function needs to be fitted apart.
+LEAST_APART = 25
 #: Labelled documents learnt from: at most so many of each label, none longer than so many characters.
-SAMPLE, SAMPLE_CHARS = 1500, 8_000
+SAMPLE, SAMPLE_CHARS = 2000, 8_000
 #: Characters scored at once.
 CHUNK = 1 << 18
 SEPARATOR, SYMBOLS = 63, 64
@@ -134,7 +138,8 @@ class Model:
         self.weights, self.bias, self.logistic = weights.astype(np.float32), float(bias), logistic
 
     def margins(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The margin of every word (or stretch of a long one), and each text's first."""
+        """The margin of every word (or stretch of a long one), and each text's first; -1 where a
+        text or its end has no word."""
         s, heads = symbols(texts)
         total = np.zeros(len(s), dtype=np.float32)
         s = np.append(s, np.uint8(SEPARATOR))
@@ -156,14 +161,15 @@ class Model:
             lengths = np.minimum(STRETCH, lengths[owner] - rank * STRETCH)
         else:
             starts = spots
-        return self.bias + np.add.reduceat(total, starts) / NORMS[lengths], np.searchsorted(starts, heads)
+        margins = np.where(lengths > 0, self.bias + np.add.reduceat(total, starts) / NORMS[lengths], -1.0)
+        return margins, np.searchsorted(starts, heads)
 
     def facts(self, texts: list[str]) -> np.ndarray:
-        """For each text: its largest word margin, at most 1, and the logarithms of 1 + how many
-        are positive and how many are above one half."""
+        """For each text: its largest word margin, at most 1, and the logarithm of 1 + the sum of
+        what its words' margins, at most 1, have above MARGIN."""
         margins, firsts = self.margins(texts)
-        count = lambda over: np.log1p(np.add.reduceat((margins > over).astype(np.float64), firsts))
-        return np.column_stack([np.minimum(1, np.maximum.reduceat(margins, firsts)), count(0), count(0.5)])
+        over = np.clip(margins - MARGIN, 0, 1 - MARGIN)
+        return np.column_stack([np.minimum(1, np.maximum.reduceat(margins, firsts)), np.log1p(np.add.reduceat(over, firsts))])
 
     def score(self, texts: list[str]) -> np.ndarray:
         z = np.column_stack([self.facts(texts), np.ones(len(texts))]) @ self.logistic
@@ -195,6 +201,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 5
     return w
 
 
+def _monotone(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic weights, none negative but the last's: more of a fact never lowers the score. The
+    most negative fact is left out until none is."""
+    used = list(range(x.shape[1]))
+    while True:
+        w = _logistic(x[:, used], y)
+        worst = int(np.argmin(w[:-1])) if len(used) > 1 else -1
+        if worst < 0 or w[worst] >= 0:
+            out = np.zeros(x.shape[1])
+            out[used] = w
+            return out
+        used.pop(worst)
+
+
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n|]+")
 
@@ -206,6 +226,21 @@ def _altered(word: str, k: int) -> list[str]:
     return [word[:at] + "xqzkw"[k % 5] + word[at:], word[:at] + str(k % 10) + word[at:], word[:at] + "0" + word[at + 1 :]]
 
 
+def without_copies(rows: list[tuple[str, int]], words: int = 5) -> list[tuple[str, int]]:
+    """The rows but for those of which half the word shingles or more stood in rows before them.
+
+    Copies of one toxic text would make its harmless words look toxic."""
+    seen: set[str] = set()
+    out = []
+    for text, y in rows:
+        w = WORD.findall(text)
+        shingles = {" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))}
+        if 2 * len(shingles - seen) > len(shingles):
+            out.append((text, y))
+        seen |= shingles
+    return out
+
+
 def toxic_words(texts: list[set[str]], counts: list[Counter], sizes: list[int]) -> list[str]:
     """Words that toxic texts have far more often than others, as few as explain them.
 
@@ -233,9 +268,13 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     Sentences of toxic texts that hold one of ``toxic_words`` are the toxic sentences, and those
     words their cause; sentences of other texts are clean. The machine learns from these words, with
     altered copies of toxic ones, against clean words: frequent ones, an even draw, and in further
-    rounds those that it took for toxic.
+    rounds those that it took for toxic. A third of the texts, whose words the machine hasn't seen,
+    is kept apart for the logistic function, unless it has too few of a label.
     """
-    rows = [(t.lower(), y) for t, y in rows]
+    every = without_copies([(t.lower(), y) for t, y in rows])
+    rows, apart = [r for k, r in enumerate(every) if k % 3], every[::3]
+    if min(sum(y for _, y in apart), sum(1 - y for _, y in apart)) < LEAST_APART:
+        rows = apart = every
     counts = [Counter(), Counter()]
     sizes = [sum(1 for _, y in rows if y == k) for k in (0, 1)]
     bags = [({w for s in SENTENCE.findall(text) for w in WORD.findall(s)}, y) for text, y in rows]
@@ -243,7 +282,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         counts[y].update(bag)
     toxic = toxic_words([b for b, y in bags if y], counts, sizes) if min(sizes) else []
     if not toxic:
-        return Model(np.zeros(SYMBOLS**3), -1.0, np.array([0.0, 0.0, 0.0, 5.0 if sizes[1] and not sizes[0] else -5.0]))
+        return Model(np.zeros(SYMBOLS**3), -1.0, np.array([0.0, 0.0, 5.0 if sizes[1] and not sizes[0] else -5.0]))
     chosen = set(toxic)
     vocabulary = sorted((w for w in counts[0] if w not in chosen), key=lambda w: (-counts[0][w], w))
     clean = vocabulary[:1500] + vocabulary[1500 :: max(1, len(vocabulary) // 2000)]
@@ -258,9 +297,9 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         hard += [vocabulary[k] for k in fresh]
         if not fresh:
             break
-    facts = np.concatenate([model.facts([t for t, _ in rows[k : k + 200]]) for k in range(0, len(rows), 200)])
-    labels = np.array([v for _, v in rows], dtype=float)
-    model.logistic = _logistic(np.column_stack([facts, np.ones(len(facts))]), labels)
+    facts = np.concatenate([model.facts([t for t, _ in apart[k : k + 200]]) for k in range(0, len(apart), 200)])
+    labels = np.array([v for _, v in apart], dtype=float)
+    model.logistic = _monotone(np.column_stack([facts, np.ones(len(facts))]), labels)
     return model
 
 
