@@ -118,7 +118,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     chosen = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("label")).distinct()
     chosen = chosen.orderBy(F.xxhash64("_key"), "_key", "label").limit(sample)
     known = docs.select(key, text).join(F.broadcast(chosen), F.col(key) == F.col("_key"))
-    rows = statistics(known, ["_key", "label"], text).coalesce(1).sortWithinPartitions("_key", "label", *STATISTICS)
+    # the scan stays spread over tasks; only the sample's statistics come together
+    rows = statistics(known, ["_key", "label"], text).repartition(1).sortWithinPartitions("_key", "label", *STATISTICS)
     return fit(materialize(rows, "quality-sample").coalesce(1))
 
 
