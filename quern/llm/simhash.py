@@ -136,8 +136,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     prints = materialize(fingerprints(docs, key, text, words), "simhash")
     nodes = materialize(prints.groupBy("bits").agg(F.min("key").alias("least")), "simhash-nodes")
     found = connected_components(links(nodes.select("bits"), radius))
-    classes = nodes.join(found, nodes.bits == found.node, "left").select("bits", F.coalesce("component", "bits").alias("class"), "least")
-    least = classes.groupBy("class").agg(F.min("least").alias("component"))
+    # both sides of the join by class are read from tables, so that a large class can be split
+    classes = materialize(nodes.join(found, nodes.bits == found.node, "left").select("bits", F.coalesce("component", "bits").alias("class"), "least"), "simhash-classes")
+    least = materialize(classes.groupBy("class").agg(F.min("least").alias("component")), "simhash-least")
     named = classes.select("bits", "class").join(least, "class").select("bits", "component")
     return prints.join(named, "bits").select(F.col("key").alias(key), "bits", "component")
 
