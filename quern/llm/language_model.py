@@ -22,7 +22,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from quern.llm.storage import discard, materialize
+from quern.llm.storage import materialize
 
 ORDER = 2
 #: Tokens of one pack, and tokens that a range of the hash space holds on average.
@@ -149,25 +149,9 @@ class Pack:
         return cls(json.loads(keys), get(lengths, "u").astype(np.int64), get_sorted(words)[get(places, "u")], order)
 
 
-def _make_packs(ranges: int, order: int):
-    """Documents (key, text) to rows (kind, pack, range, body): a pack's 'state' (or 'mixture' for
-    texts of the mixture fold, which get packs of their own) and its 'keys' by range."""
-
-    def build(number: int, kind: str, keys: list, lists: list[list[bytes]]) -> pa.RecordBatch:
-        pack = Pack.of(keys, lists, order)
-        hashes, places, firsts = pack.grams()
-        trained = pack.folds != HELD_OUT
-        weight = np.concatenate([*[np.repeat(trained, pack.lengths)] * len(places), *[trained] * len(firsts)])
-        counts = np.bincount(np.concatenate([*places, *firsts]), weights=weight, minlength=len(hashes)).astype(np.int64)
-        is_word = np.zeros(len(hashes), dtype=np.uint8)
-        is_word[places[0]] = 1
-        rows = [(kind, number, -1, pack.dump())]
-        cuts = [0, *np.searchsorted(hashes, [np.uint64((r << HASH_BITS) // ranges) for r in range(1, ranges)]).tolist(), len(hashes)]
-        for r, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
-            if lo < hi:
-                part = small(counts[lo:hi]), is_word[lo:hi], np.uint8([kind == "mixture"])
-                rows.append(("keys", number, r, _join(put_sorted(hashes[lo:hi]), *map(put, part))))
-        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), ARROW)], schema=ARROW)
+def _make_packs(order: int):
+    """Documents (key, text) to rows (kind, pack, body): a pack's 'state', or 'mixture' for texts of
+    the mixture fold, which get packs of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -175,6 +159,11 @@ def _make_packs(ranges: int, order: int):
         number = TaskContext.get().partitionId() << 32
         waiting = {"state": ([], []), "mixture": ([], [])}
         sizes = dict.fromkeys(waiting, 0)
+
+        def build(kind: str) -> pa.RecordBatch:
+            body = Pack.of(*waiting[kind], order).dump()
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in ((kind, pa.string()), (number, pa.int64()), (body, pa.binary()))], names=["kind", "pack", "body"])
+
         for batch in batches:
             for key, text in zip(batch.column(0), batch.column(1)):
                 key = key.as_py()
@@ -184,19 +173,46 @@ def _make_packs(ranges: int, order: int):
                 lists.append(words(text.as_py()))
                 sizes[kind] += len(lists[-1]) + 1
                 if sizes[kind] >= PACK_TOKENS:
-                    yield build(number, kind, keys, lists)
+                    yield build(kind)
                     number += 1
                     waiting[kind], sizes[kind] = ([], []), 0
-        for kind, (keys, lists) in waiting.items():
-            if keys:
-                yield build(number, kind, keys, lists)
+        for kind in waiting:
+            if waiting[kind][0]:
+                yield build(kind)
                 number += 1
 
     return run
 
 
-PACKS = "kind string, pack bigint, range int, body binary"
-ARROW = pa.schema([("kind", pa.string()), ("pack", pa.int64()), ("range", pa.int32()), ("body", pa.binary())])
+def _make_keys(ranges: int, order: int):
+    """Rows of ``_make_packs`` to (range, pack, body): a pack's hashes and their counts by range.
+
+    They go straight to a shuffle; only the packs, which are smaller, are written as a table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, number, body in zip(*(batch.column(i) for i in range(3))):
+                pack = Pack.load(body.as_py(), order)
+                hashes, places, firsts = pack.grams()
+                trained = pack.folds != HELD_OUT
+                weight = np.concatenate([*[np.repeat(trained, pack.lengths)] * len(places), *[trained] * len(firsts)])
+                counts = np.bincount(np.concatenate([*places, *firsts]), weights=weight, minlength=len(hashes)).astype(np.int64)
+                is_word = np.zeros(len(hashes), dtype=np.uint8)
+                is_word[places[0]] = 1
+                cuts = [0, *np.searchsorted(hashes, [np.uint64((r << HASH_BITS) // ranges) for r in range(1, ranges)]).tolist(), len(hashes)]
+                spans = [(r, lo, hi) for r, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if lo < hi]
+                mixture = put(np.uint8([kind.as_py() == "mixture"]))
+                bodies = [_join(put_sorted(hashes[lo:hi]), put(small(counts[lo:hi])), put(is_word[lo:hi]), mixture) for _, lo, hi in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r for r, _, _ in spans], pa.int32()), pa.array([number.as_py()] * len(spans), pa.int64()), pa.array(bodies, pa.binary())],
+                    names=["range", "pack", "body"],
+                )
+
+    return run
+
+
+PACKS = "kind string, pack bigint, body binary"
+KEYS = "range int, pack bigint, body binary"
 
 
 def _join(*parts: bytes) -> bytes:
@@ -308,10 +324,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int =
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(6, int(size * order // (6 * RANGE_TOKENS)) + 1)
-    packs = materialize(slim.mapInArrow(_make_packs(ranges, order), PACKS), "lm-packs", "kind")
-    keyed = packs.filter("kind = 'keys'").select("range", "pack", "body").repartition(ranges, "range")
+    packs = materialize(slim.mapInArrow(_make_packs(order), PACKS), "lm-packs")
+    keyed = packs.mapInArrow(_make_keys(ranges, order), KEYS).repartition(ranges, "range")
     counted = materialize(keyed.groupBy("range").applyInArrow(_sum_range, COUNTED), "lm-counts")
-    discard(packs, "kind=keys")
     facts = counted.agg(F.sum("known"), F.sum("tokens"), F.sum("fitted")).first()
     known, tokens, fitted = (int(v or 0) for v in facts)
 

@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def materialize(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
     Unlike ``checkpoint()`` the plan runs once and the files are columnar. They outlive lost
@@ -31,17 +31,8 @@ def materialize(df: DataFrame, name: str, partition: str | None = None) -> DataF
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex}"
-    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path, partitionBy=partition)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame, partition: str) -> None:
-    """Remove one partition's files of a table that ``materialize`` wrote and nothing reads again."""
-    spark = df.sparkSession
-    root = df.inputFiles()[0].split(f"/{partition.split('=')[0]}=")[0] if df.inputFiles() else None
-    if root:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{partition}")
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
