@@ -68,16 +68,35 @@ def links(messages: DataFrame) -> DataFrame:
 
     ``messages`` has conv_id, turn and parsed (see ``lines``). A passage is matched by its
     normalised text to own lines or own passages of earlier turns of its conversation, to the
-    latest of them; one without a match has a null quoted_turn. Hashes only name the candidates'
-    keys: a hash of 256 bits stands for the text.
+    latest of them; one without a match has a null quoted_turn. A hash of 256 bits stands for the
+    text.
     """
     found = messages.select("conv_id", "turn", F.explode(passages(F.col("parsed"))).alias("p")).select("conv_id", "turn", "p.*")
     quoted = found.filter("depth > 0").select("conv_id", "turn", "place", "depth", F.sha2(normalise(F.col("body")), 256).alias("hash"))
     own_lines = messages.select("conv_id", "turn", F.explode(F.filter("parsed", lambda x: x["depth"] == 0)).alias("l")).select("conv_id", "turn", normalise(F.col("l.body")).alias("body"))
     own = found.filter("depth = 0").select("conv_id", "turn", normalise(F.col("body")).alias("body")).union(own_lines).filter("body <> ''")
-    own = own.select("conv_id", F.sha2("body", 256).alias("hash"), F.col("turn").alias("from_turn")).groupBy("conv_id", "hash").agg(F.array_sort(F.collect_set("from_turn")).alias("turns"))
-    hit = quoted.join(own, ["conv_id", "hash"], "left")
-    return hit.select("conv_id", "turn", "place", "depth", F.array_max(F.filter("turns", lambda t: t < F.col("turn"))).alias("quoted_turn"))
+    own = own.select("conv_id", F.sha2("body", 256).alias("hash"), "turn")
+    return quoted.join(_latest_before(quoted, own), ["conv_id", "turn", "hash"], "left").select("conv_id", "turn", "place", "depth", "quoted_turn")
+
+
+def _latest_before(quoted: DataFrame, own: DataFrame) -> DataFrame:
+    """(conv_id, hash, turn, quoted_turn): for each of ``quoted`` the latest turn before its own in
+    which ``own`` has the hash; no row for a null conv_id or turn.
+
+    Both are sorted together over ranges, so that a passage that very many messages of one
+    conversation wrote or quote is spread over tasks; a range takes its own latest turn, and else
+    the latest of earlier ranges.
+    """
+    key = ["conv_id", "hash", "turn"]
+    asked = quoted.select(*key, F.lit(False).alias("wrote"))
+    both = asked.union(own.select(*key, F.lit(True).alias("wrote"))).filter("conv_id is not null and turn is not null").distinct()
+    both = both.withColumn("from_turn", F.when(F.col("wrote"), F.col("turn")))  # a message doesn't quote itself: asking sorts first
+    ranged = materialize(both.repartitionByRange(*key, "wrote").withColumn("range", F.spark_partition_id()), "quote-ranges")
+    here = Window.partitionBy("range", "conv_id", "hash").orderBy("turn", "wrote").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("conv_id", "hash").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    latest = ranged.groupBy("range", "conv_id", "hash").agg(F.max("from_turn").alias("latest")).select("range", "conv_id", "hash", F.max("latest").over(earlier).alias("latest"))
+    near = ranged.withColumn("near", F.max("from_turn").over(here)).filter("not wrote")
+    return near.join(latest, ["range", "conv_id", "hash"]).select(*key, F.coalesce("near", "latest").alias("quoted_turn"))
 
 
 def conversations(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:

@@ -258,6 +258,27 @@ def test_positions_match_brute_force(spark):
         assert [r.reply_to for r in mine] == [None, *[w[0] for w in want[:-1]]]
 
 
+def test_links_match_brute_force(spark, monkeypatch):
+    """A line that most messages of one conversation write and quote, over many ranges."""
+    rng = random.Random(8)
+    texts = {}
+    for conv, turns in ((1, 120), (2, 15)):
+        for turn in rng.sample(range(2 * turns), turns):
+            own = rng.choice(["same", "same", "same", f"t{rng.randrange(5)}"])
+            quoted = rng.choice(["same", "same", f"t{rng.randrange(7)}"])
+            texts[conv, turn] = f"> {quoted}\n{own}"
+    rows = [(c, t, "user", x) for (c, t), x in texts.items()]
+    monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", lambda self, *k, f=type(spark.range(0)).repartitionByRange: f(self, 9, *k))
+    got = quotes.conversations(spark.createDataFrame(rows, TALK_SCHEMA)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        quoted = texts[r.conv_id, r.turn].split("\n")[0][2:]
+        wrote = [t for (c, t), x in texts.items() if c == r.conv_id and t < r.turn and x.endswith("\n" + quoted)]
+        before = [t for c, t in texts if c == r.conv_id and t < r.turn]
+        assert (r.n_quotes, r.n_linked) == (1, int(bool(wrote)))
+        assert r.reply_to == max(wrote or before, default=None)
+
+
 # whole queries ----------------------------------------------------------------------------------
 
 
