@@ -18,7 +18,7 @@ import xxhash
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, components, decontamination, language_model as lm, simhash, spotsigs
+from quern.llm import bpe, components, copies, decontamination, language_model as lm, simhash, spotsigs
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 DOC = "doc_id long, text string"
@@ -152,6 +152,35 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def five_words(text):
+    w = (text or "").encode().lower().split()
+    return {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_near_copies_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(copies, "PART", 1)
+    rng = random.Random(12)
+    line = syllables(rng, 12)
+    docs = [(None, "no key " * 9), (90, None), (91, " "), (92, "a b"), (93, "A  b")]
+    for k in range(12):
+        words = syllables(rng, 150).split()
+        for j in range(5):
+            edited = list(words)
+            for _ in range(rng.randint(0, 7)):
+                edited[rng.randrange(len(edited))] = "edit"
+            docs.append((100 + 5 * k + j, " ".join(edited) + " " + line))
+    got = copies.near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    sets = {k: five_words(t) for k, t in docs if k is not None}
+    near = [(a, b) for a, b in itertools.combinations(sorted(sets), 2) if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    want = union_find(set(sets), near)
+    least = {c: min(k for k in sets if want[k] == c) for c in want.values()}
+    assert {r.doc_id: r.component for r in got if r.doc_id is not None} == {k: least[want[k]] for k in sets}
+    assert [r.component for r in got if r.doc_id is None] == [None] and len(got) == len(docs)
+    wide = [(a, b) for a, b in near if (simhash.fingerprint(dict(docs)[a]) ^ simhash.fingerprint(dict(docs)[b])).bit_count() > 3]
+    assert wide  # pairs that op10's radius misses
+    assert copies.near_copies(spark.createDataFrame(docs, "doc_id long, text string").limit(0)).count() == 0
+
+
 # decontamination --------------------------------------------------------------------------------
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
