@@ -342,4 +342,7 @@ CHECKS = ["slice-counts", "orphans", "mask-label-agreement", "demographics", "le
 def qc_gate(spark, d):
     """QC-09: errors and warnings of every check."""
     findings = qc_window_counts(spark, d).unionByName(qc_orphans(spark, d)).unionByName(qc_mask_label(spark, d))
+    findings = findings.unionByName(qc_coverage(spark, d)).unionByName(qc_plausibility(spark, d))
+    findings = findings.unionByName(qc.finding(qc_label_agreement(spark, d), "demographics", qc.ERROR, "patient-vs-slice-label-disagreement", F.concat_ws("/", "source", "term")))
+    findings = findings.unionByName(qc.finding(leakage_confirmed(spark, d), "leakage", qc.ERROR, "cross-patient-near-duplicate", F.concat_ws("/", "a", "b")))
     return qc.report(findings, CHECKS)
