@@ -24,3 +24,9 @@ def test_qc_gate_counts_all_five_checks(spark, duck):  # noqa: F811
      SELECT *, CASE WHEN errors > 0 THEN 'FAIL' WHEN warnings > 0 THEN 'WARN' ELSE 'PASS' END AS result FROM t"""
     got = same("qc_gate", sql, spark, duck)
     assert got.set_index("check").loc["demographics", "errors"] > 0
+
+
+def test_lineage_of_all_orders(spark, duck):  # noqa: F811
+    sql = """SELECT DISTINCT 'order' || l_orderkey AS node, 0 AS level FROM lineitem UNION ALL SELECT DISTINCT 'part' || l_partkey, 1 FROM lineitem
+     UNION ALL SELECT DISTINCT 'supplier' || l_suppkey, 2 FROM lineitem"""
+    same("lineage_trace", sql, spark, duck)
