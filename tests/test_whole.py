@@ -30,3 +30,8 @@ def test_lineage_of_all_orders(spark, duck):  # noqa: F811
     sql = """SELECT DISTINCT 'order' || l_orderkey AS node, 0 AS level FROM lineitem UNION ALL SELECT DISTINCT 'part' || l_partkey, 1 FROM lineitem
      UNION ALL SELECT DISTINCT 'supplier' || l_suppkey, 2 FROM lineitem"""
     same("lineage_trace", sql, spark, duck)
+
+
+def test_release_leaks_of_all_sources(spark, duck):  # noqa: F811
+    found = set(same("release_leaks", ORACLES["release_leaks"].replace(" WHERE source LIKE 'src1%'", ""), spark, duck)["identifier"])
+    assert found == {r[0] for r in duck.execute("SELECT DISTINCT source FROM documents").fetchall()}
