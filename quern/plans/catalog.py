@@ -167,8 +167,8 @@ def export(spark, d):
  UNION ALL SELECT 'image-metadata', 0)""")
 def privacy_gate(spark, d):
     """PRV-10: the checks and whether they pass."""
-    none = table(spark, d, "region").filter("false")
-    return privacy.gate({"identifier-columns": phi_columns(spark, d), "free-text-identifiers": phi_scan(spark, d), "age-over-89": safe_harbor_rule(spark, d), "image-metadata": none})
+    leaking = id_leak_fraction(spark, d).filter("leaks")
+    return privacy.gate({"identifier-columns": phi_columns(spark, d), "free-text-identifiers": phi_scan(spark, d), "age-over-89": safe_harbor_rule(spark, d), "no-real-ids-in-exports": leaking})
 
 
 @query(f"WITH {LONG} SELECT annotation_id, doc_id, label_code, value, 'consensus' AS annotator, 'labels.parquet' AS source_file FROM long")

@@ -35,3 +35,10 @@ def test_lineage_of_all_orders(spark, duck):  # noqa: F811
 def test_release_leaks_of_all_sources(spark, duck):  # noqa: F811
     found = set(same("release_leaks", ORACLES["release_leaks"].replace(" WHERE source LIKE 'src1%'", ""), spark, duck)["identifier"])
     assert found == {r[0] for r in duck.execute("SELECT DISTINCT source FROM documents").fetchall()}
+
+
+def test_privacy_gate_makes_every_check(spark, duck):  # noqa: F811
+    got = QUERIES["privacy_gate"](spark, SF).toPandas().set_index("check")
+    leaks = duck.execute(f"SELECT count(*) FROM ({ORACLES['id_leak_fraction']}) WHERE leaks").fetchone()[0]
+    assert leaks > 0 and got.loc["no-real-ids-in-exports"].tolist() == [leaks, "FAIL"]
+    assert "image-metadata" not in got.index  # no code looks into images
