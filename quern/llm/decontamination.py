@@ -67,7 +67,8 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
-    """For each row of ``docs``: key, n_words, n_hit, n_items, item_ids (sorted), row_hash.
+    """For each row of ``docs``: key, n_words, n_hit, n_items, item_ids (sorted), row_hash (of key
+    and text), text_crc.
 
     A document word is hit inside any occurrence of an item's window of ``window`` words; an item
     of fewer words (but not none) is one window. Null texts have no words; null item keys count as
@@ -142,4 +143,5 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.col("row").alias("row_hash"),
+        F.col("row2").alias("text_crc"),
     )

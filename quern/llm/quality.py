@@ -93,16 +93,22 @@ class Model:
 def fit(rows: DataFrame, label: str = "label") -> Model:
     """Fit on a small DataFrame of statistics and a 0/1 label.
 
-    Where a label is missing altogether, the score is the same for all: the share of ones, drawn to
-    one half by two pseudo-rows.
+    Where a label is missing altogether, or no tree finds a split (few rows, or statistics that are
+    the same for all), the score is the same for all: the share of ones, drawn to one half by two
+    pseudo-rows.
     """
     rows = rows.select(array_to_vector(F.array(*STATISTICS)).alias("features"), F.col(label).cast("double").alias("label"), *STATISTICS).cache()
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    ones, total = sizes.get(1.0, 0) + 1, sum(sizes.values()) + 2
+    same = Model([], math.log(ones / (total - ones)))
     if len(sizes) < 2:
-        ones, total = sizes.get(1.0, 0) + 1, sum(sizes.values()) + 2
-        return Model([], math.log(ones / (total - ones)))
+        rows.unpersist()
+        return same
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird", minInstancesPerNode=5).fit(rows)
     rules = list(dict.fromkeys(r for tree in forest.trees for r in tree_rules(tree.toDebugString)))
+    if not rules:
+        rows.unpersist()
+        return same
     held = rows.select("label", array_to_vector(F.array(*[r.column().cast("double") for r in rules])).alias("features")).cache()
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=40, standardization=False).fit(held)
     rows.unpersist()

@@ -8,7 +8,7 @@ agree on all the bits that table v keeps. No pair within the radius is missed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +37,14 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     starts = [0, *ends[:-1].tolist()]
     stops = (ends - 1).tolist()[words - 1 :] or [len(joined)]
     digest = xxhash.xxh64_intdigest
-    ones, total = np.zeros(64, dtype=np.int64), len(stops)
-    for k in range(0, total, CHUNK):
-        part = stops[k : k + CHUNK]
-        hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[k : k + CHUNK], part)), dtype="<u8", count=len(part))
+    groups = (np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[k : k + CHUNK], stops[k : k + CHUNK])), dtype="<u8") for k in range(0, len(stops), CHUNK))
+    return majority(groups, len(stops))
+
+
+def majority(groups: Iterable[np.ndarray], total: int) -> int:
+    """The bits that more than half of ``total`` hashes set, as a signed 64-bit integer."""
+    ones = np.zeros(64, dtype=np.int64)
+    for hashes in groups:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0])
