@@ -138,40 +138,100 @@ def test_quality_with_one_label_or_none(spark):
         assert quality.score(docs, model, ["doc_id"]).first().score == pytest.approx(want)
 
 
+def test_quality_with_few_rows_or_equal_statistics(spark):
+    words = "alpha beta gamma delta".split()
+    for n in (1, 2, 9):
+        docs = spark.createDataFrame([(i, " ".join(words * (i + 1))) for i in range(n)], "doc_id long, text string")
+        model = quality.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, quality int"))
+        assert all(0 <= r.score <= 1 for r in quality.score(docs, model, ["doc_id"]).collect())
+    same = spark.createDataFrame([(i, "one text") for i in range(40)], "doc_id long, text string")
+    model = quality.learn(same, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
+    assert quality.score(same, model, ["doc_id"]).first().score == pytest.approx(0.5)
+
+
 # toxicity ---------------------------------------------------------------------------------------
 
 
-def brute_features(word):
-    """Gap-weighted three-letter subsequences of the marked word, by definition."""
-    s = [63, *[toxicity._symbol_table()[ord(c)] for c in word], 63]
-    out = {}
-    for i, j, k in itertools.combinations(range(len(s)), 3):
-        if k - i < toxicity.SPAN and 63 not in s[i + 1 : k]:
-            code = int(s[i]) * 4096 + int(s[j]) * 64 + int(s[k])
-            out[code] = out.get(code, 0) + toxicity.DECAY ** (k - i + 1)
-    return out
-
-
-def test_kernel_features_match_the_definition():
-    for word in ("idiot", "aa", "x", "banana", "ñandú7"):
-        norm = toxicity.NORMS[len(word)]
-        got = toxicity.word_features(word)
-        want = {c: v / norm for c, v in brute_features(word).items()}
-        assert got.keys() == want.keys() and all(abs(got[c] - want[c]) < 1e-12 for c in want)
-
-
-def test_margins_match_the_kernel(monkeypatch):
-    rng = np.random.default_rng(3)
-    model = toxicity.Model(rng.normal(size=toxicity.SYMBOLS**3), -0.2)
-    words = ["idiot", "scum", "a", "worthless", "x9y"]
-    want = [-0.2 + sum(v * float(model.weights[c]) for c, v in toxicity.word_features(w).items()) for w in words]
-    for chunk in (1 << 18, 8):
-        monkeypatch.setattr(toxicity, "CHUNK", chunk)
-        margins, firsts = model.margins([" ".join(words), "", words[3]])
-        assert np.allclose(margins[: len(words)], want, atol=1e-5) and firsts.tolist() == [0, 5, 6] and np.isclose(margins[6], want[3], atol=1e-5)
-    s, heads = toxicity.symbols(["i d-i o.t now", "é"])
+def symbol_words(sentence, table=toxicity._symbol_table()):
+    return [[63, *[int(table[ord(c)]) for c in w], 63] for w in sentence.split()]
+
+
+def brute_features(sentence):
+    """Gap-weighted three-letter subsequences of a sentence's marked words, summed, by definition."""
+    out, words = {}, symbol_words(sentence)
+    for s in words:
+        for i, j, k in itertools.combinations(range(len(s)), 3):
+            if k - i < toxicity.SPAN:
+                code = s[i] * 4096 + s[j] * 64 + s[k]
+                out[code] = out.get(code, 0) + toxicity.DECAY ** (k - i + 1) / toxicity.NORMS[len(s) - 2]
+    equal = sum(a == b for a in words for b in words)
+    return {c: v / max(1, equal) ** 0.5 for c, v in out.items()}
+
+
+SENTENCES = ["idiot", "aa", "banana split x9y", "the worthless the ñandú7 the", "x"]
+
+
+def kernel(a, b):
+    return sum(v * b[c] for c, v in a.items() if c in b)
+
+
+def test_sentence_features_match_the_definition():
+    got = toxicity.Features(toxicity.Words(SENTENCES))
+    for k, s in enumerate(SENTENCES):
+        mine, want = dict(zip(*map(list, got.row(k)))), brute_features(s)
+        assert mine.keys() == want.keys() and all(abs(mine[c] - want[c]) < 1e-5 for c in want)
+
+
+def test_gaps_and_inserted_characters_keep_a_match():
+    near = lambda a, b: kernel(brute_features(a), brute_features(b))
+    for altered in ("idxiot", "idiiot", "i7diot", "idioxt", "idiots", "idio"):
+        assert near("idiot", altered) > 0.3 * near("idiot", "idiot") > 3 * near("idiot", "garden")
+
+
+def test_margins_match_the_kernel_of_landmarks():
+    """The collapsed table scores as the sum of weighted kernels to the landmarks does."""
+    texts = toxicity.Words(["you idiot there", "a scum bag", "plain river water", "on the hill", "some idxiot too", "green hills far"])
+    rows = toxicity.Features(texts)
+    index = np.full(toxicity.SYMBOLS**3, -1)
+    alphas, table = np.array([1.5, -0.5, -1.0]), np.zeros(toxicity.SYMBOLS**3)
+    marks = ["you idiot there", "plain river water", "on the hill"]
+    for m, alpha in zip(marks, alphas):
+        for c, v in brute_features(m).items():
+            table[c] += alpha * v
+    got = toxicity.Model(table, 0.25).margins(texts)
+    want = [0.25 + sum(al * kernel(brute_features(m), brute_features(s)) for al, m in zip(alphas, marks)) for s in ["you idiot there", "a scum bag", "plain river water", "on the hill", "some idxiot too", "green hills far"]]
+    assert np.allclose(got, want, atol=1e-4)
+    used = np.unique(np.concatenate([rows.row(i)[0] for i in range(6)]))
+    index[used] = np.arange(len(used))
+    dense = np.zeros((len(used), 2), dtype=np.float32)
+    dense[:, 0], dense[:, 1] = table[used], 1
+    assert np.allclose(rows.times(dense, index)[:, 0] + 0.25, want, atol=1e-4)
+
+
+def test_sentences_and_chunks(monkeypatch):
     letters = lambda xs: "".join(chr(96 + x) if x < 27 else "_" for x in xs)
-    assert letters(s[: heads[1]]) == "_i_di_ot_now" and letters(toxicity.symbols(["so i d i o t ok"])[0]) == "_so_idiot_ok"
+    w = toxicity.Words(["i d-i o.t now", "é"])
+    assert letters(w.symbols[: w.starts[w.sentence == w.first[1]][0]]) == "_i_di_ot_now" and letters(toxicity.Words(["so i d i o t ok"]).symbols) == "_so_idiot_ok"
+    w = toxicity.Words(["One two. Three\nfour five six seven eight nine ten", "", "v. 2.5 a-b"])
+    spans = [letters(w.symbols[a:b]) for a, b in zip(*w.spans())]
+    assert spans == ["_one_two", "_three", "_four_five_six_seven_eight", "_nine_ten", "_", "_v", "____ab"] and w.first.tolist() == [0, 4, 5]
+    model = toxicity.Model(np.random.default_rng(3).normal(size=toxicity.SYMBOLS**3), -0.2)
+    long = toxicity.Words(["word " * 30 + "x" * 70, "tail end"])
+    whole = model.margins(long)
+    monkeypatch.setattr(toxicity, "CHUNK", 8)
+    assert np.allclose(whole, model.margins(long), atol=1e-4) and whole[long.first[1]] == model.margins(toxicity.Words(["tail end"]))[0]
+
+
+def test_drawn_sentences_are_those_of_the_texts():
+    rows = [("one two three. four five six seven eight nine ten\n" + "z" * 65 + " end", 1), ("", 0), ("alpha beta\ngamma", 0)]
+    bags = toxicity.Bags(rows, group=2)
+    whole = [toxicity.Features(g) for g in bags.groups]
+    total = int(bags.offsets[-1])
+    drawn = bags.features(np.arange(total))
+    flat = [f.row(i) for f in whole for i in range(len(f.begins) - 1)]
+    for k in range(total):
+        a, b = dict(zip(*map(list, drawn.row(k)))), dict(zip(*map(list, flat[k])))
+        assert a.keys() == b.keys() and all(abs(a[c] - v) < 1e-5 for c, v in b.items())
 
 
 def toy_rows(n=240):
@@ -208,6 +268,10 @@ def test_toxicity_frames(spark):
     assert toxicity.score(docs.limit(0), model, ["doc_id"]).count() == 0
     none = toxicity.learn(docs, labels.limit(0))
     assert toxicity.score(docs, none, ["doc_id"]).filter("score >= 0.5").isEmpty()
+    only = toxicity.learn(docs, labels.filter("toxic = 1"))
+    assert toxicity.score(docs, only, ["doc_id"]).filter("score < 0.5").isEmpty()
+    few = toxicity.learn(docs, labels.filter("doc_id in (0, 1)"))
+    assert toxicity.score(docs, few, ["doc_id"]).count() == 163
 
 
 # quotes -----------------------------------------------------------------------------------------
@@ -315,20 +379,67 @@ def test_pipeline_stages(spark):
     assert last.count() == docs.count()
 
 
-def test_stages_by_brute_force(spark):
+def test_near_duplicate_stage_by_brute_force(spark):
+    """One row of each class of texts whose five-word Jaccard chains reach 0.8."""
     import corpus_pipeline as pipe
 
     rng = random.Random(3)
     text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(n))
     long = text(80)
-    rows = [(2, long), (1, long), (5, long + " x"), (9, text(80)), (9, "same id"), (None, long), (7, "has " + text(3))]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = sorted(r.doc_id for r in pipe.near_duplicate_stage(spark, docs, SF).collect() if r.doc_id is not None)
-    from quern.llm import simhash
-
-    near = {k: simhash.fingerprint(t) for k, t in rows}
-    assert 1 in kept and 2 not in kept and (5 in kept) == ((near[5] ^ near[1]).bit_count() > 3) and 9 in kept and 7 in kept
-    assert len(kept) == len(set(kept))
+    rows = [(2, long), (1, long), (5, long + " x"), (9, text(80)), (9, "same id"), (9, "same id"), (None, long), (7, "has " + text(3)), (11, None), (12, ""), (None, None)]
+    for k in range(6):  # groups of edited copies
+        words = text(120).split()
+        for j in range(4):
+            edited = list(words)
+            for _ in range(rng.randint(0, 6)):
+                edited[rng.randrange(len(edited))] = "edit"
+            rows.append((100 + 10 * k + j, " ".join(edited)))
+    docs = spark.createDataFrame([(*r, f"s{k}") for k, r in enumerate(rows)], "doc_id long, text string, _rows string")
+    got = pipe.near_duplicate_stage(spark, docs, SF).collect()
+    sets = lambda t: {tuple(w[i : i + 5]) for w in [(t or "").split()] for i in range(max(1, len(w) - 4))}
+    texts = {t or "": sets(t) for _, t in rows}
+    root = {t: t for t in texts}
+
+    def top(t):
+        while root[t] != t:
+            t = root[t]
+        return t
+
+    for a, b in itertools.combinations(texts, 2):
+        if 10 * len(texts[a] & texts[b]) >= 8 * len(texts[a] | texts[b]):
+            root[top(a)] = top(b)
+    classes = {}
+    for i, t in rows:
+        if i is not None:
+            classes.setdefault(top(t or ""), set()).add((i, t or ""))
+    kept = [(r.doc_id, r.text or "") for r in got if r.doc_id is not None]
+    least = {c: min(i for i, _ in members) for c, members in classes.items()}
+    assert sorted((i, top(t)) for i, t in kept) == sorted((i, c) for c, i in least.items()) and all(k in classes[top(k[1])] for k in kept)
+    assert sorted(r.text or "" for r in got if r.doc_id is None) == sorted(["", long])
+    assert got[0].asDict().keys() == {"doc_id", "text", "_rows"}
+    assert pipe.near_duplicate_stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_decontamination_stage_by_brute_force(spark, tmp_path):
+    import corpus_pipeline as pipe
+
+    rng = random.Random(4)
+    text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=3)) for _ in range(n))
+    items = [(1, text(20)), (2, "five words and no more"), (3, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    part = " ".join(items[0][1].split()[4:15])
+    rows = [(1, text(30)), (2, text(9) + " " + part.upper() + " " + text(9)), (2, text(30)), (3, "Five words; and no more!"), (4, None), (None, "x " + part), (5, " ".join(part.split()[:9]))]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, _row_hash int")
+    assert sorted(r["_row_hash"] for r in pipe.decontamination_stage(spark, docs, str(tmp_path)).collect()) == [0, 2, 4, 6]
+
+
+def test_stages_on_empty_tables_and_clashing_columns(spark):
+    import corpus_pipeline as pipe
+
+    docs = spark.createDataFrame([(1, "some text here", 0.1, 0.2, "z")], "doc_id long, text string, _toxicity double, _quality double, _text string")
+    for stage in (pipe.toxicity_stage, pipe.quality_stage):
+        assert stage(spark, docs, SF).columns == docs.columns
+        assert stage(spark, docs.limit(0), SF).count() == 0
 
 
 def test_registry():
