@@ -100,7 +100,7 @@ def release_verify(spark, d):
     return release.verify(b.altered(inv), inv, key="rel_path")
 
 
-@query(f"""WITH {INV}, w AS (SELECT rel_path, unnest(list_distinct(regexp_split_to_array(rel_path, '[^A-Za-z0-9_]+'))) AS word FROM inv) SELECT 'rel_path' AS "column", source AS identifier, count(*) AS n_rows FROM w JOIN (SELECT DISTINCT source FROM documents WHERE source LIKE 'src1%') s ON s.source = w.word GROUP BY source""")
+@query(f"""WITH {INV}, w AS (SELECT rel_path, unnest(list_distinct(regexp_split_to_array(rel_path, '[^A-Za-z0-9_]+'))) AS word FROM inv) SELECT 'rel_path' AS "column", source AS identifier, count(*) AS n_rows FROM w JOIN (SELECT DISTINCT source FROM documents) s ON s.source = w.word GROUP BY source""")
 def release_leaks(spark, d):
     """REL-06, FN-15: real identifiers that stand as words in a release."""
     ids = table(spark, d, "documents").select("source").distinct()
@@ -356,8 +356,8 @@ def lineage_producer(spark, d):
     return audit.producers(runs, targets)
 
 
-@query("""WITH edges AS (SELECT DISTINCT 'part' || l_partkey AS child, 'supplier' || l_suppkey AS parent FROM lineitem WHERE l_orderkey <= 200 UNION SELECT 'order' || l_orderkey, 'part' || l_partkey FROM lineitem WHERE l_orderkey <= 200),
- l0 AS (SELECT DISTINCT 'order' || l_orderkey AS node FROM lineitem WHERE l_orderkey <= 200 AND l_orderkey % 50 = 1),
+@query("""WITH edges AS (SELECT DISTINCT 'part' || l_partkey AS child, 'supplier' || l_suppkey AS parent FROM lineitem UNION SELECT 'order' || l_orderkey, 'part' || l_partkey FROM lineitem),
+ l0 AS (SELECT DISTINCT 'order' || l_orderkey AS node FROM lineitem),
  l1 AS (SELECT DISTINCT parent AS node FROM l0 JOIN edges ON node = child), l2 AS (SELECT DISTINCT parent AS node FROM l1 JOIN edges ON node = child)
  SELECT node, 0 AS level FROM l0 UNION ALL SELECT node, 1 FROM l1 UNION ALL SELECT node, 2 FROM l2""")
 def lineage_trace(spark, d):

@@ -164,7 +164,7 @@ def export(spark, d):
  SELECT 'identifier-columns' AS "check", count(*) AS n_findings FROM names, tokens WHERE contains(regexp_replace(lower("column"), '[^a-z]', '_', 'g'), token)
  UNION ALL SELECT 'free-text-identifiers', count(*) FROM phi
  UNION ALL SELECT 'age-over-89', count(*) FROM customer WHERE c_acctbal / 100e0 > 89
- UNION ALL SELECT 'image-metadata', 0)""")
+ UNION ALL SELECT 'no-real-ids-in-exports', count(*) FROM ({ORACLES['id_leak_fraction']}) WHERE leaks)""")
 def privacy_gate(spark, d):
     """PRV-10: the checks and whether they pass."""
     leaking = id_leak_fraction(spark, d).filter("leaks")
@@ -336,8 +336,12 @@ def leakage_text_exact(spark, d):
 CHECKS = ["slice-counts", "orphans", "mask-label-agreement", "demographics", "leakage"]
 
 
-@query(f"""WITH {WINDOWS}, {AGREEMENT}, {ORPHANS}, c AS (SELECT unnest({CHECKS}) AS "check"), f AS (SELECT 'slice-counts' AS "check", 0 AS e, 1 AS w FROM windows UNION ALL SELECT 'orphans', 1, 0 FROM orphans UNION ALL SELECT 'mask-label-agreement', 1, 0 FROM agreement),
- t AS (SELECT c."check", coalesce(sum(e), 0)::BIGINT AS errors, coalesce(sum(w), 0)::BIGINT AS warnings FROM c LEFT JOIN f ON c."check" = f."check" GROUP BY ALL)
+FOUND = [f'SELECT "check", severity FROM ({ORACLES[q]})' for q in ("qc_window_counts", "qc_orphans", "qc_mask_label", "qc_coverage", "qc_plausibility")]
+FOUND += [f"SELECT 'demographics', 'ERROR' FROM ({ORACLES['qc_label_agreement']})", f"SELECT 'leakage', 'ERROR' FROM ({ORACLES['leakage_confirmed']})"]
+
+
+@query(f"""WITH f AS ({" UNION ALL ".join(FOUND)}),
+ t AS (SELECT c."check", count_if(severity = 'ERROR')::BIGINT AS errors, count_if(severity = 'WARNING')::BIGINT AS warnings FROM (SELECT unnest({CHECKS}) AS "check") c LEFT JOIN f ON c."check" = f."check" GROUP BY ALL)
  SELECT "check", errors, warnings, CASE WHEN errors > 0 THEN 'FAIL' WHEN warnings > 0 THEN 'WARN' ELSE 'PASS' END AS result FROM t""")
 def qc_gate(spark, d):
     """QC-09: errors and warnings of every check."""
