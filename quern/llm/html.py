@@ -11,6 +11,7 @@ import html as entities
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -25,7 +26,7 @@ BLOCK_TAGS = frozenset(
     "table tbody td tfoot th thead title tr ul button textarea".split()
 )
 #: Elements whose content is never text of the page.
-HIDDEN_TAGS = ("script", "style", "template", "noscript", "iframe", "svg", "object", "head", "title", "textarea", "select")
+HIDDEN_TAGS = ("script", "style", "template", "noscript", "iframe", "svg", "object", "title", "textarea", "select")
 #: Elements without content (fixed values).
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What an opening tag closes first: a paragraph, and items of its own kind.
@@ -37,11 +38,36 @@ NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+class Element:
+    """An open element, linked to its parent; ``fresh`` are the features that no ancestor has."""
+
+    __slots__ = ("tag", "names", "parent", "fresh", "score")
+
+    def __init__(self, tag: str, names: frozenset[str], parent: Element | None, fresh: tuple[str, ...]):
+        self.tag, self.names, self.parent, self.fresh, self.score = tag, names, parent, fresh, None
+
+    def chain(self) -> list[Element]:
+        """The element and its ancestors, the outermost first."""
+        out, at = [], self
+        while at is not None:
+            out.append(at)
+            at = at.parent
+        return out[::-1]
+
+
 class Block:
-    __slots__ = ("text", "path", "names", "link_chars")
+    __slots__ = ("text", "element", "link_chars")
 
-    def __init__(self, text: str, path: tuple[str, ...], names: tuple[frozenset[str], ...], link_chars: int):
-        self.text, self.path, self.names, self.link_chars = text, path, names, link_chars
+    def __init__(self, text: str, element: Element | None, link_chars: int):
+        self.text, self.element, self.link_chars = text, element, link_chars
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        return tuple(e.tag for e in self.element.chain()) if self.element else ()
+
+    @property
+    def names(self) -> tuple[frozenset[str], ...]:
+        return tuple(e.names for e in self.element.chain()) if self.element else ()
 
 
 def _names(attributes: str) -> frozenset[str]:
@@ -52,10 +78,18 @@ def _names(attributes: str) -> frozenset[str]:
 
 def leaf_blocks(page: str | None) -> list[Block]:
     """The page's blocks that have text, in page order. Broken, unclosed and cut-off markup is read
-    as browsers do, as far as blocks go: a tag that never ends hides what follows it."""
+    as browsers do, as far as blocks go: a tag that never ends hides what follows it, and what can't
+    stand in a head ends it.
+
+    Elements are linked to their parents and each knows what it adds to them, so that deep nesting
+    costs as much as shallow.
+    """
     page = page or ""
     blocks: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack: list[tuple[str, Element | None]] = []  # the tag and the innermost block element
+    marks: list[int] = []  # places in the stack of items and of what bounds them
+    open_tags: Counter[str] = Counter()
+    open_features: set[str] = set()
     parts: list[str] = []
     linked = 0
     hidden_until = None
@@ -64,34 +98,52 @@ def leaf_blocks(page: str | None) -> list[Block]:
     def flush() -> None:
         nonlocal linked
         if parts:
-            text = " ".join(entities.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
-                open_blocks = [x for x in stack if x[0] in BLOCK_TAGS]
-                blocks.append(Block(text, tuple(t for t, _ in open_blocks), tuple(n for _, n in open_blocks), linked))
+                blocks.append(Block(text, stack[-1][1] if stack else None, linked))
         parts.clear()
         linked = 0
 
+    def push(tag: str, attributes: str) -> None:
+        inner = stack[-1][1] if stack else None
+        if tag in BLOCK_TAGS:
+            names = _names(attributes)
+            own = [f"in={tag}"] if tag not in ("html", "body") else []
+            fresh = tuple(f for f in [*own, *(f"name={n}" for n in sorted(names))] if f not in open_features)
+            open_features.update(fresh)
+            inner = Element(tag, names, inner, fresh)
+        if tag in SAME_KIND or tag in LIST_ROOTS:
+            marks.append(len(stack))
+        stack.append((tag, inner))
+        open_tags[tag] += 1
+
+    def pop() -> str:
+        tag, element = stack.pop()
+        open_tags[tag] -= 1
+        if tag in BLOCK_TAGS:
+            open_features.difference_update(element.fresh)
+        if marks and marks[-1] == len(stack):
+            marks.pop()
+        return tag
+
     at = 0
     while at < len(page):
         if hidden_until:
             end = re.compile(rf"</{hidden_until}\b[^>]*>", re.I).search(page, at)
-            if hidden_until == "head" and not end:
-                end = re.compile(r"<body\b", re.I).search(page, at)
-                at, hidden_until = (end.start() if end else len(page)), None
-                continue
             at, hidden_until = (end.end() if end else len(page)), None
             continue
         k = page.find("<", at)
         if k < 0 or k > last:
             rest = page[at:]
             cut = re.search(r"<[a-zA-Z/!?]", rest)
-            parts.append(rest[: cut.start()] if cut else rest)
+            parts.append(entities.unescape(rest[: cut.start()] if cut else rest))
             break
         m = TOKEN.match(page, k)
         text = page[at : k if m else k + 1]
         if text:
+            text = entities.unescape(text)
             parts.append(text)
-            if any(t == "a" for t, _ in stack):
+            if open_tags["a"]:
                 linked += len(text.strip())
         if not m:
             at = k + 1
@@ -107,50 +159,55 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if closing:
             if tag in BLOCK_TAGS:
                 flush()
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
+            if open_tags[tag] > 0:
+                while pop() != tag:
                     pass
             continue
         if tag in BLOCK_TAGS:
             flush()
             while stack and stack[-1][0] not in BLOCK_TAGS:
-                stack.pop()
+                pop()
             if stack and stack[-1][0] == "p":
-                stack.pop()
+                pop()
             if tag in SAME_KIND:
-                for i in range(len(stack) - 1, -1, -1):
+                for i in reversed(marks):
                     if stack[i][0] in SAME_KIND[tag]:
-                        del stack[i:]
+                        while len(stack) > i:
+                            pop()
                         break
                     if stack[i][0] in LIST_ROOTS:
                         break
         if tag in HIDDEN_TAGS and not attributes.rstrip().endswith("/"):
             hidden_until = tag
-        elif tag not in VOID_TAGS:
-            stack.append((tag, _names(attributes)))
+        elif tag not in VOID_TAGS and tag != "head":
+            push(tag, attributes)
     flush()
     return blocks
 
 
-def features(block: Block, place: int, total: int) -> list[str]:
-    """Names of the features that hold for a block."""
-    inner = block.path[-1] if block.path else "none"
-    found = {"bias", f"tag={inner}"}
-    found.update(f"in={t}" for t in block.path if t not in ("html", "body"))
-    found.update(f"name={n}" for names in block.names for n in names)
-    if block.names:
-        found.update(f"own={n}" for n in block.names[-1])
+def own_features(block: Block, place: int, total: int) -> list[str]:
+    """Names of the features that hold for a block, but for those of its elements' tags and names."""
+    element = block.element
+    found = ["bias", f"tag={element.tag if element else 'none'}"]
+    if element:
+        found += [f"own={n}" for n in element.names]
     n, words = len(block.text), block.text.count(" ") + 1
-    found.add(f"words={min(6, int(math.log2(words)))}")
-    found.add(f"links={min(3, int(4 * block.link_chars / max(1, n)))}")
-    found.add("stop" if block.text[-1] in ".!?:…»\"'" else "no-stop")
+    found.append(f"words={min(6, int(math.log2(words)))}")
+    found.append(f"links={min(3, int(4 * block.link_chars / max(1, n)))}")
+    found.append("stop" if block.text[-1] in ".!?:…»\"'" else "no-stop")
     if "©" in block.text or "all rights reserved" in block.text.lower():
-        found.add("copyright")
+        found.append("copyright")
     if place == 0:
-        found.add("first")
+        found.append("first")
     if place == total - 1:
-        found.add("last")
-    return list(found)
+        found.append("last")
+    return found
+
+
+def features(block: Block, place: int, total: int) -> list[str]:
+    """Names of all features that hold for a block."""
+    above = [f for e in block.element.chain() for f in e.fresh] if block.element else []
+    return own_features(block, place, total) + above
 
 
 class Field:
@@ -160,19 +217,35 @@ class Field:
         self.weights, self.steps = weights, steps
 
     def decode(self, rows: list[list[str]]) -> list[bool]:
-        """Viterbi; of equal paths the one with main text."""
-        get = self.weights.get
+        """The labels of blocks that are given by their features."""
+        return self.path([sum(self.weights.get(f, 0.0) for f in row) for row in rows])
+
+    def label(self, blocks: list[Block]) -> list[bool]:
+        """The labels of a page's blocks. An element's score is its parent's and what it adds."""
+        get, scores = self.weights.get, []
+        for k, block in enumerate(blocks):
+            waiting, at = [], block.element
+            while at is not None and at.score is None:
+                waiting.append(at)
+                at = at.parent
+            for e in reversed(waiting):
+                e.score = (e.parent.score if e.parent else 0.0) + sum(get(f, 0.0) for f in e.fresh)
+            above = block.element.score if block.element else 0.0
+            scores.append(above + sum(get(f, 0.0) for f in own_features(block, k, len(blocks))))
+        return self.path(scores)
+
+    def path(self, scores: list[float]) -> list[bool]:
+        """Viterbi over the blocks' main-text scores; of equal paths the one with main text."""
         (s00, s01), (s10, s11) = self.steps.tolist()
         back, a, b = [], 0.0, 0.0
-        for k, row in enumerate(rows):
-            own = sum(get(f, 0.0) for f in row)
+        for k, own in enumerate(scores):
             if k == 0:
                 a, b = 0.0, own
             else:
                 from_b_to_a, from_b_to_b = b + s10 >= a + s00, b + s11 >= a + s01
                 back.append((from_b_to_a, from_b_to_b))
                 a, b = (b + s10 if from_b_to_a else a + s00), own + (b + s11 if from_b_to_b else a + s01)
-        if not rows:
+        if not scores:
             return []
         label = b >= a
         out = [label]
@@ -182,31 +255,34 @@ class Field:
         return out[::-1]
 
 
-def fit(pages: Iterable[tuple[list[list[str]], list[bool]]], rounds: int = 250, rate: float = 0.3, l2: float = 2e-4) -> Field:
-    """Maximise the penalised log-likelihood of labelled pages by AdaGrad on exact gradients.
+class Likelihood:
+    """The penalised log-likelihood of labelled pages, and its exact gradient.
 
     The forward and backward passes go over block places, all pages at once; pages shorter than
     the longest are masked.
     """
-    pages = [(rows, labels) for rows, labels in pages if rows]
-    index = {f: i for i, f in enumerate(sorted({f for rows, _ in pages for row in rows for f in row}))}
-    sizes = np.array([len(rows) for rows, _ in pages])
-    n, most = len(pages), int(sizes.max(initial=1))
-    flat = [row for rows, _ in pages for row in rows]
-    ids = np.array([index[f] for row in flat for f in row])
-    counts = np.array([len(row) for row in flat])
-    begins = np.cumsum(counts) - counts
-    page_of, place_of = np.repeat(np.arange(n), sizes), np.concatenate([np.arange(k) for k in sizes])
-    labels = np.zeros((n, most), dtype=int)
-    labels[page_of, place_of] = [int(y) for _, ys in pages for y in ys]
-    real = np.arange(most)[None, :] < sizes[:, None]
-    both = real[:, 1:]
-    seen_steps = np.array([[(both & (labels[:, :-1] == a) & (labels[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
-    w, steps = np.zeros(len(index)), np.zeros((2, 2))
-    sw, ss = np.full(len(index), 1e-8), np.full((2, 2), 1e-8)
-    for _ in range(rounds):
+
+    def __init__(self, pages: Iterable[tuple[list[list[str]], list[bool]]], l2: float = 2e-4):
+        pages = [(rows, labels) for rows, labels in pages if rows]
+        self.index = {f: i for i, f in enumerate(sorted({f for rows, _ in pages for row in rows for f in row}))}
+        sizes = np.array([len(rows) for rows, _ in pages])
+        self.n, self.most, self.l2 = len(pages), int(sizes.max(initial=1)), l2
+        flat = [row for rows, _ in pages for row in rows]
+        self.ids = np.array([self.index[f] for row in flat for f in row])
+        self.counts = np.array([len(row) for row in flat])
+        self.begins = np.cumsum(self.counts) - self.counts
+        self.at = np.repeat(np.arange(self.n), sizes), np.concatenate([np.arange(k) for k in sizes])
+        self.labels = np.zeros((self.n, self.most), dtype=int)
+        self.labels[self.at] = [int(y) for _, ys in pages for y in ys]
+        self.real = np.arange(self.most)[None, :] < sizes[:, None]
+        both = self.real[:, 1:]
+        self.seen = np.array([[(both & (self.labels[:, :-1] == a) & (self.labels[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
+
+    def __call__(self, w: np.ndarray, steps: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """(value, gradient by feature, gradient by step)."""
+        n, most, real, ridge = self.n, self.most, self.real, self.l2 * self.n
         own = np.zeros((n, most, 2))
-        own[page_of, place_of, 1] = np.add.reduceat(w[ids], begins)
+        own[(*self.at, 1)] = np.add.reduceat(w[self.ids], self.begins)
         ahead, behind = np.zeros((n, most, 2)), np.zeros((n, most, 2))
         ahead[:, 0] = own[:, 0]
         for k in range(1, most):
@@ -218,17 +294,29 @@ def fit(pages: Iterable[tuple[list[list[str]], list[bool]]], rounds: int = 250,
             behind[:, k] = np.where(real[:, k + 1, None], new, 0.0)
         whole = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
         main = np.exp(ahead[..., 1] + behind[..., 1] - whole[:, None])
-        miss = (labels - main)[page_of, place_of]
-        gw = np.bincount(ids, weights=np.repeat(miss, counts), minlength=len(index)) - l2 * n * w
-        gs = seen_steps - l2 * n * steps
+        miss = (self.labels - main)[self.at]
+        gw = np.bincount(self.ids, weights=np.repeat(miss, self.counts), minlength=len(w)) - ridge * w
+        gs = self.seen - ridge * steps
+        both = real[:, 1:]
         for a, b in ((0, 0), (0, 1), (1, 0), (1, 1)):
             both_on = np.exp(ahead[:, :-1, a] + steps[a, b] + own[:, 1:, b] + behind[:, 1:, b] - whole[:, None])
             gs[a, b] -= both_on[both].sum()
+        value = (own[..., 1] * self.labels * real).sum() + (self.seen * steps).sum() - whole.sum() - ridge / 2 * ((w**2).sum() + (steps**2).sum())
+        return float(value), gw, gs
+
+
+def fit(pages: Iterable[tuple[list[list[str]], list[bool]]], rounds: int = 250, rate: float = 0.3) -> Field:
+    """Maximise the penalised log-likelihood of labelled pages by AdaGrad on exact gradients."""
+    target = Likelihood(pages)
+    w, steps = np.zeros(len(target.index)), np.zeros((2, 2))
+    sw, ss = np.full(len(w), 1e-8), np.full((2, 2), 1e-8)
+    for _ in range(rounds):
+        _, gw, gs = target(w, steps)
         sw += gw**2
         ss += gs**2
         w += rate * gw / np.sqrt(sw)
         steps += rate * gs / np.sqrt(ss)
-    return Field({f: float(w[i]) for f, i in index.items()}, steps)
+    return Field({f: float(w[i]) for f, i in target.index.items()}, steps)
 
 
 def labelled_pages(count: int = 600, seed: int = 7) -> list[tuple[str, list[str]]]:
@@ -323,8 +411,7 @@ def fit_pages(pages: Iterable[tuple[str, list[str]]]) -> Field:
 
 def main_text(page: str | None, field: Field) -> str:
     blocks = leaf_blocks(page)
-    labels = field.decode([features(b, k, len(blocks)) for k, b in enumerate(blocks)])
-    return "\n".join(b.text for b, main in zip(blocks, labels) if main)
+    return "\n".join(b.text for b, main in zip(blocks, field.label(blocks)) if main)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", field: Field | None = None) -> DataFrame:

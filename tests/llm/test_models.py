@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -70,6 +71,48 @@ def test_leaf_blocks():
     assert len(texts("<p>word</p>" * 20000)) == 20000 and texts("<" * 3000)[0] == "<" * 3000
 
 
+def test_heads_references_and_nesting():
+    assert texts("<head><title>x</title><p>Real text</p>") == ["Real text"]
+    assert texts("<p>one</p><head><p>two</p>") == ["one", "two"] and texts("<html><head><meta charset=x><style>p{}</style></head><body>b") == ["b"]
+    assert texts("AT&<b>amp;</b>T") == ["AT&amp;T"] and texts("<p>a &lt;b&gt; c</p>") == ["a <b> c"]
+    began = time.perf_counter()
+    deep = html.leaf_blocks("<div class='c%d'>text" % 1 * 20000)
+    assert len(deep) == 20000 and len(html.main_text("<div class='row'>some text." * 20000, html.default_field()).split("\n")) <= 20000
+    mixed = "".join(f"<div class='k{k}'>t" for k in range(20000)) + "<ul>" + "<li>x" * 2000
+    assert len(html.leaf_blocks(mixed)) == 22000
+    assert time.perf_counter() - began < 20
+    assert deep[2].path == ("div",) * 3
+
+
+def test_labels_of_blocks_are_those_of_their_features():
+    field = html.default_field()
+    for page, _ in html.labelled_pages(30, seed=5):
+        blocks = html.leaf_blocks(page)
+        rows = [html.features(b, k, len(blocks)) for k, b in enumerate(blocks)]
+        assert all(len(r) == len(set(r)) for r in rows) and field.label(blocks) == field.decode(rows)
+
+
+def test_gradients_match_finite_differences():
+    rng = np.random.default_rng(2)
+    pages = [([[f"f{k}" for k in rng.choice(6, 2, replace=False)] for _ in range(n)], [bool(b) for b in rng.integers(0, 2, n)]) for n in (1, 4, 3, 7)]
+    target = html.Likelihood(pages, l2=0.01)
+    w, steps = rng.normal(size=len(target.index)), rng.normal(size=(2, 2))
+    value, gw, gs = target(w, steps)
+    brute = 0.0  # the likelihood by all labellings
+    for rows, labels in pages:
+        own = [sum(w[target.index[f]] for f in row) for row in rows]
+        score = lambda path: sum(o for o, p in zip(own, path) if p) + sum(steps[int(a), int(b)] for a, b in zip(path, path[1:]))  # noqa: E731, B023
+        brute += score(labels) - np.log(sum(np.exp(score(p)) for p in itertools.product([0, 1], repeat=len(rows))))
+    assert value == pytest.approx(brute - 0.01 * 4 / 2 * ((w**2).sum() + (steps**2).sum()))
+    for i in range(len(w)):
+        step = np.eye(len(w))[i] * 1e-5
+        assert gw[i] == pytest.approx((target(w + step, steps)[0] - target(w - step, steps)[0]) / 2e-5, abs=1e-4)
+    for a, b in itertools.product((0, 1), repeat=2):
+        step = np.zeros((2, 2))
+        step[a, b] = 1e-5
+        assert gs[a, b] == pytest.approx((target(w, steps + step)[0] - target(w, steps - step)[0]) / 2e-5, abs=1e-4)
+
+
 def test_viterbi_matches_brute_force():
     rng = random.Random(1)
     for _ in range(30):
