@@ -386,6 +386,69 @@ def test_links_match_brute_force(spark, monkeypatch):
         assert r.reply_to == max(wrote or before, default=None)
 
 
+def brute_conversation(rows):
+    """(turn, role, text) rows of one conversation, with distinct texts for each turn, by definition."""
+    plain = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
+    rows = sorted(rows)
+    parsed = []
+    for turn, _, text in rows:
+        full = [(len(m[0].replace(" ", "")), x[len(m[0]) :].strip()) for x in text.split("\n") for m in [re.match(r"(?:[ \t]*>)*", x)]]
+        full = [x for x in full if x[1]]
+        runs = [list(g) for _, g in itertools.groupby(full, key=lambda x: x[0])]
+        parsed.append((turn, [x for d, x in full if d == 0], [(r[0][0], [x for _, x in r]) for r in runs if r[0][0] > 0]))
+    out, parent = [], {}
+    for k, (turn, _, quoted) in enumerate(parsed):
+        found = []
+        for d, passage in quoted:
+            hit = [t for t, own, _ in parsed if t < turn and any([plain(x) for x in own[i : i + len(passage)]] == [plain(x) for x in passage] for i in range(len(own) - len(passage) + 1))]
+            found.append((d, max(hit, default=None)))
+        linked = [(d, n, t) for n, (d, t) in enumerate(found) if t is not None]
+        to = min(linked)[2] if linked else (parsed[k - 1][0] if k else None)
+        parent[k] = [t for t, _, _ in parsed].index(to) if linked else k - 1
+        out.append([turn, to, len(found), len(linked)])
+    order = []
+
+    def walk(k):
+        order.append(k)
+        for child in range(k + 1, len(rows)):
+            if parent[child] == k:
+                walk(child)
+
+    walk(0)
+    return sorted((*out[k], n + 1) for n, k in enumerate(order))
+
+
+def test_reply_trees_match_brute_force(spark, monkeypatch):
+    rng = random.Random(21)
+    rows, want = [], {}
+    for conv in range(8):
+        own, mine = [], []
+        for turn in range(rng.choice([1, 2, 9, 25])):
+            text = [f"line {rng.randrange(12)} of {conv}" for _ in range(rng.randint(1, 5))]
+            parts = []
+            for _ in range(rng.choice([0, 1, 1, 2]) if own else 0):
+                source = rng.choice(own)
+                a = rng.randrange(len(source))
+                parts += [">" * rng.choice([1, 1, 2]) + " " + x.upper() for x in source[a : a + rng.randint(1, 4)]] + ["and so"]
+            own.append(text)
+            mine.append((3 * turn, "user", "\n".join(parts + text)))
+        rows += [(conv, *m) for m in mine]
+        want[conv] = mine
+    for patched in (False, True):
+        if patched:
+            monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", lambda self, *k, f=type(spark.range(0)).repartitionByRange: f(self, 7, *k))
+        got = quotes.conversations(spark.createDataFrame(rows, TALK_SCHEMA)).collect()
+        for conv, mine in want.items():
+            assert sorted((r.turn, r.reply_to, r.n_quotes, r.n_linked, r.position) for r in got if r.conv_id == conv) == brute_conversation(mine)
+    assert any(r.position != 1 + r.turn // 3 for r in got)
+
+
+def test_quotes_inside_messages_and_of_repeated_rows(spark):
+    rows = [(1, 0, "u", "one\ntwo\nthree"), (1, 1, "v", "> one\n> two\nyes"), (1, 1, "v", "> one\n> two\nyes"), (1, 1, "w", "> three\n> nothing\nno"), (1, 2, "u", "> Two\n> three\nah")]
+    got = sorted((r.turn, r.role, r.n_quotes, r.n_linked, r.reply_to) for r in quotes.conversations(spark.createDataFrame(rows, TALK_SCHEMA)).collect())
+    assert got == [(0, "u", 0, 0, None), (1, "v", 1, 1, 0), (1, "v", 1, 1, 0), (1, "w", 1, 0, 1), (2, "u", 1, 1, 0)]
+
+
 # whole queries ----------------------------------------------------------------------------------
 
 
