@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.functions.keys import shuffle_key
+from quern.functions.ordered import numbered
+from quern.operators.release import places
 
 CLIP = 1e-12
 #: Two-sided 95 % t values for 1 to 9 degrees of freedom, the value beyond, and the factor of the
@@ -30,9 +32,14 @@ def group_uncertainty(rows: DataFrame, group: str, score: str, rule: str = "mean
 def stratified_pool(groups: DataFrame, group: str, flag: str, fraction: float, seed: int) -> DataFrame:
     """(group, flag, pool): of each flag value the first round(n * fraction) groups, in a keyed
     shuffle, are labelled and the rest unlabelled."""
-    order = Window.partitionBy(flag).orderBy(shuffle_key(seed, F.col(flag), F.col(group)), group)
-    n = F.count("*").over(Window.partitionBy(flag)).cast("double")
-    return groups.select(group, flag, F.when(F.row_number().over(order) <= F.bround(n * fraction), "labelled").otherwise("unlabelled").alias("pool"))
+    placed = places(groups, group, flag, seed)
+    return placed.select(group, flag, F.when(F.col("_at") <= F.bround(F.col("_total").cast("double") * fraction), "labelled").otherwise("unlabelled").alias("pool"))
+
+
+def ranking(uncertainty: DataFrame, group: str) -> DataFrame:
+    """``uncertainty`` (group, uncertainty) with ``rank``, the most uncertain first, ties by group."""
+    ordered = uncertainty.withColumn("_least", -F.col("uncertainty"))
+    return numbered(ordered, ["_least", group], "rank").drop("_least")
 
 
 def select_uncertain(ranking: DataFrame, pool: DataFrame, group: str, budget: int) -> DataFrame:

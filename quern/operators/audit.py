@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from quern.functions.ordered import with_previous
+from quern.functions.storage import materialize
 
 GENESIS = "0" * 64
 MAX_DEPTH = 10
@@ -40,9 +41,9 @@ def linked(log: DataFrame, payload: Column, order: str) -> DataFrame:
     A row's own hash is over its payload; its record hash is over the hashes of the row before and
     of itself, so an edit, a removal or a swap shows at that row and the next.
     """
-    own = F.sha2(payload, 256)
-    before = F.coalesce(F.lag("own").over(Window.orderBy(order)), F.lit(GENESIS))
-    return log.withColumn("own", own).withColumn("prev_hash", before).withColumn("record_hash", F.sha2(F.concat_ws("\n", "prev_hash", "own"), 256)).drop("own")
+    before = with_previous(log.withColumn("own", F.sha2(payload, 256)), order, "own", "prev_hash")
+    sealed = before.withColumn("prev_hash", F.coalesce("prev_hash", F.lit(GENESIS)))
+    return sealed.withColumn("record_hash", F.sha2(F.concat_ws("\n", "prev_hash", "own"), 256)).drop("own")
 
 
 def breaks(log: DataFrame, recompute: Column, previous: Column, seq: str = "seq", stored: str = "record_hash", prev: str = "prev_hash") -> DataFrame:
@@ -80,22 +81,42 @@ def touches(changed: Column, target: Column) -> Column:
     return (changed == target) | changed.startswith(F.concat(target, F.lit("/"))) | target.startswith(F.concat(changed, F.lit("/")))
 
 
+def prefixes(path: Column) -> Column:
+    """The path and every folder above it, as an array."""
+    parts = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+
+
 def producers(runs: DataFrame, targets: DataFrame) -> DataFrame:
-    """(target, run_id, seq): the newest run before ``before_seq`` that changed each target."""
-    hit = (F.col("seq") < F.col("before_seq")) & touches(F.col("changed"), F.col("target"))
-    return targets.join(runs, hit).groupBy("target").agg(F.max(F.struct("seq", "run_id")).alias("m")).select("target", F.col("m.run_id").alias("run_id"), F.col("m.seq").alias("seq"))
+    """(target, run_id, seq): the newest run before ``before_seq`` that changed each target (see
+    ``touches``).
+
+    A run touches a target if either path is among the other's prefixes, so two equi-joins on
+    prefixes find all of them.
+    """
+    inside = runs.select("seq", "run_id", F.explode(prefixes(F.col("changed"))).alias("target")).join(targets, "target")
+    above = targets.select("target", "before_seq", F.explode(prefixes(F.col("target"))).alias("changed")).join(runs, "changed")
+    hits = inside.select("target", "before_seq", "seq", "run_id").union(above.select("target", "before_seq", "seq", "run_id"))
+    newest = hits.filter("seq < before_seq").groupBy("target").agg(F.max(F.struct("seq", "run_id")).alias("m"))
+    return newest.select("target", F.col("m.run_id").alias("run_id"), F.col("m.seq").alias("seq"))
 
 
-def trace(start: DataFrame, edges: DataFrame, depth: int = MAX_DEPTH, step: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def trace(start: DataFrame, edges: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
     """(node, level): everything that ``start`` (node) rests on over ``edges`` (child, parent), each
-    at its least level, up to ``depth``. Rounds end when one finds nothing new."""
-    seen = start.select("node").distinct().withColumn("level", F.lit(0))
-    edge = front = seen
+    at its least level, up to ``depth``. Rounds end when one finds nothing new.
+
+    Every round's new nodes are written, so that no round works out an earlier one again.
+    """
+    front = seen = materialize(start.select("node").distinct().withColumn("level", F.lit(0)), "trace")
     for level in range(1, depth + 1):
-        edge = front.join(edges, front.node == edges.child).select(F.col("parent").alias("node")).distinct()
-        front = edge.join(seen.select("node"), "node", "left_anti").withColumn("level", F.lit(level))
-        front = step(front) if step else front
+        above = front.join(edges, front.node == edges.child).select(F.col("parent").alias("node")).distinct()
+        front = materialize(above.join(seen.select("node"), "node", "left_anti").withColumn("level", F.lit(level)), "trace")
         if front.isEmpty():
             break
         seen = seen.unionByName(front)
     return seen
+
+
+def tail(log: DataFrame, n: int, seq: str = "seq") -> DataFrame:
+    """The newest ``n`` records of a log."""
+    return log.orderBy(F.desc(seq)).limit(n)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from quern.functions.storage import materialize
 
 
 def with_first_copy(rows: DataFrame, digest: str, name: str) -> DataFrame:
     """``first_copy``: the smallest ``name`` with the same digest, and ``copies``, how many there are.
 
-    An aggregate and a join, so that a digest with very many copies isn't one task's window.
+    An aggregate and a join of two tables, so that Spark can split a digest with very many copies.
     """
-    firsts = rows.groupBy(digest).agg(F.min(name).alias("first_copy"), F.count("*").alias("copies"))
+    firsts = materialize(rows.groupBy(digest).agg(F.min(name).alias("first_copy"), F.count("*").alias("copies")), "firsts")
     return rows.join(firsts, digest, "left")
 
 
@@ -40,8 +42,3 @@ def state(decided: DataFrame) -> DataFrame:
     all_rows = decided.groupBy("decision").agg(F.count("*").alias("n")).select("decision", F.lit("all").alias("reason"), "n")
     kinds = decided.select("decision", F.explode("reasons").alias("r")).groupBy("decision", F.substring_index("r", ":", 1).alias("reason")).agg(F.count("*").alias("n"))
     return all_rows.unionByName(kinds)
-
-
-def newest_first(columns: list[str]) -> Window:
-    """A window over ``columns``, the newest curation first."""
-    return Window.partitionBy(*columns).orderBy(F.col("curated_at").desc())

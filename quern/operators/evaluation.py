@@ -125,3 +125,15 @@ def operating_point(rows: DataFrame, target_recall: float = 0.90) -> DataFrame:
 def slice_report(rows: DataFrame, threshold: float) -> DataFrame:
     """Confusion counts and rates at the run's threshold."""
     return with_rates(confusion(rows, threshold))
+
+
+def report(sections: dict[str, DataFrame]) -> DataFrame:
+    """(section, metric, value): one-row results of several analyses as one long table."""
+    parts = []
+    for name, df in sections.items():
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in df.columns])).alias("cell")
+        parts.append(df.select(cells).select(F.lit(name).alias("section"), "cell.*"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

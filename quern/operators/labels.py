@@ -17,7 +17,7 @@ def unpivot_labels(wide: DataFrame, taxonomy: DataFrame, keys: list[str], annota
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("source_column"), F.col(c).cast("int").alias("value")) for c in columns]))
     identity = F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(source_file), F.lit(annotator)), 256)
     long = wide.select(F.substring(identity, 1, 16).alias("annotation_id"), *keys, cells.alias("cell")).select("annotation_id", *keys, "cell.*")
-    named = long.join(F.broadcast(taxonomy.select("source_column", F.col("code").alias("label_code"))), "source_column")
+    named = long.join(taxonomy.select("source_column", F.col("code").alias("label_code")), "source_column")
     return named.select("annotation_id", *keys, "label_code", "value", F.lit(annotator).alias("annotator"), F.lit(source_file).alias("source_file"))
 
 
@@ -29,7 +29,7 @@ def invalid_values(long: DataFrame) -> DataFrame:
 def lookup(long: DataFrame, taxonomy: DataFrame, keys: list[str], main_category: str) -> DataFrame:
     """One row for each annotation: labels as a map, positive codes, those of the main category, and
     whether there is none of it."""
-    known = long.join(F.broadcast(taxonomy.select(F.col("code").alias("label_code"), "category")), "label_code")
+    known = long.join(taxonomy.select(F.col("code").alias("label_code"), "category"), "label_code")
     on = F.col("value") == 1
     grouped = known.groupBy("annotation_id", *keys).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("label_code", "value")))).alias("labels"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quern.functions.keys import draw, ratio
-from quern.functions.ordered import running_totals
+from quern.functions.ordered import numbered, running_totals
 
 
 def by_score(rows: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -91,9 +91,9 @@ def bootstrap_auroc(rows: DataFrame, group: str, resamples: int, seed: int, labe
     """
     spark = rows.sparkSession
     groups = rows.select(group).distinct()
-    n = groups.count()
-    ranked = groups.withColumn("rank", F.row_number().over(Window.orderBy(group)) - 1)
-    draws = spark.range(resamples).select(F.col("id").alias("resample"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("place"))
+    ranked = numbered(groups, [group], "rank").withColumn("rank", F.col("rank") - 1)
+    n = ranked.count()
+    draws = spark.range(resamples * n).select(F.floor(F.col("id") / n).alias("resample"), (F.col("id") % n).alias("place"))
     picked = draws.withColumn("rank", draw(n, seed, F.col("resample"), F.col("place"))).groupBy("resample", "rank").agg(F.count("*").alias("weight"))
     weights = picked.join(ranked, "rank").select("resample", group, "weight")
     sums = rows.groupBy(group, F.col(score).cast("double").alias("score")).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))

@@ -42,8 +42,12 @@ def scan_text(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(key, column, issue, match): the first match of each pattern in each text, 60 characters of it."""
     cells = rows.select(key, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])).alias("cell")).select(key, "cell.*")
     cells = cells.filter("value is not null")
-    found = F.array_compact(F.array(*[F.when(F.col("value").rlike(p), F.struct(F.lit(f"possible-{k}").alias("issue"), F.left(F.regexp_extract("value", p, 0), F.lit(MATCH_CHARS)).alias("match"))) for k, p in TEXT_PATTERNS.items()]))
-    return cells.select(key, "column", F.explode(found).alias("f")).select(key, "column", "f.issue", "f.match")
+    # each pattern runs once, and one that needs a certain text only where that stands
+    needs = {"email": "@", "url": "http"}
+    match = lambda k, p: F.when(F.contains("value", F.lit(needs.get(k, ""))), F.regexp_extract("value", p, 0)).otherwise("")
+    found = F.array(*[F.struct(F.lit(f"possible-{k}").alias("issue"), match(k, p).alias("match")) for k, p in TEXT_PATTERNS.items()])
+    cells = cells.select(key, "column", F.explode(found).alias("f")).filter("f.match <> ''")
+    return cells.select(key, "column", "f.issue", F.left("f.match", F.lit(MATCH_CHARS)).alias("match"))
 
 
 def scan_names(names: DataFrame, column: str = "column") -> DataFrame:

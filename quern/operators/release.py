@@ -20,18 +20,24 @@ def stratified_split(groups: DataFrame, group: str, stratum: str, seed: int, tra
 
     Groups stand in the order of a keyed hash, so the split is the same for any input order and any
     run with the seed. The first round(n * train) are train, up to round(n * (train + validation))
-    validation, the rest test, with halves rounded to even; a lone group is train. Places within a
-    stratum are counted over slices of the hash's range, so a large stratum is spread over tasks.
+    validation, the rest test, with halves rounded to even; a lone group is train.
     """
+    placed = places(groups, group, stratum, seed)
+    at, n = F.col("_at"), F.col("_total").cast("double")
+    first, second = F.bround(n * train), F.bround(n * (train + validation))
+    return placed.select(group, stratum, F.when(at <= first, "train").when(at <= second, "validation").otherwise("test").alias("split"))
+
+
+def places(groups: DataFrame, group: str, stratum: str, seed: int) -> DataFrame:
+    """(group, stratum, _at, _total): each group's place in its stratum by a keyed hash, and how many
+    groups the stratum has. Places are counted over slices of the hash's range."""
     keyed = groups.select(group, stratum).withColumn("_key", shuffle_key(seed, F.col(stratum), F.col(group))).withColumn("_slice", F.substring("_key", 1, 2))
     slices = keyed.groupBy(stratum, "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(stratum).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     heads = slices.select(stratum, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"), F.sum("_n").over(Window.partitionBy(stratum)).alias("_total"))
     place = F.row_number().over(Window.partitionBy(stratum, "_slice").orderBy("_key", group))
-    placed = keyed.withColumn("_place", place).join(F.broadcast(heads), [stratum, "_slice"])
-    at, n = F.col("_place") + F.col("_ahead"), F.col("_total").cast("double")
-    first, second = F.bround(n * train), F.bround(n * (train + validation))
-    return placed.select(group, stratum, F.when(at <= first, "train").when(at <= second, "validation").otherwise("test").alias("split"))
+    placed = keyed.withColumn("_place", place).join(heads, [stratum, "_slice"])
+    return placed.select(group, stratum, (F.col("_place") + F.col("_ahead")).alias("_at"), "_total")
 
 
 def overlaps(assignment: DataFrame, group: str) -> DataFrame:

@@ -77,6 +77,21 @@ def confirm(pairs: DataFrame, rows: DataFrame, key: str, vector: str, least: flo
 
 
 def shared_texts(left: DataFrame, right: DataFrame, left_key: str, right_key: str, text: str = "text") -> DataFrame:
-    """Equal texts on both sides after lower-casing and joining white space: (left, right) keys."""
+    """Texts that stand on both sides after lower-casing and joining white space: one row for each,
+    with its least key and its count of rows (n_left, n_right) on either side.
+
+    Copies are counted and never met in pairs.
+    """
     norm = F.sha2(F.trim(F.regexp_replace(F.lower(text), r"\s+", " ")), 256)
-    return left.select(F.col(left_key), norm.alias("h")).join(right.select(F.col(right_key), norm.alias("h")), "h").select(left_key, right_key)
+    side = lambda df, key, n: df.groupBy(norm.alias("h")).agg(F.min(key).alias(key), F.count("*").alias(n))
+    return side(left, left_key, "n_left").join(side(right, right_key, "n_right"), "h").select(left_key, right_key, "n_left", "n_right")
+
+
+def leakage_statistics(rows: DataFrame, pairs: DataFrame, confirmed: DataFrame, group: str) -> DataFrame:
+    """One row: rows, pairs of different groups (n_compared), candidates, confirmed, and the largest
+    correlation of a confirmed pair. Pairs are counted from the sizes of groups."""
+    sizes = rows.groupBy(group).agg(F.count("*").alias("n"))
+    n = F.sum("n")
+    counts = sizes.agg(n.alias("n_rows"), ((n * n - F.sum(F.col("n") * F.col("n"))) / 2).cast("long").alias("n_compared"))
+    found = confirmed.agg(F.count("*").alias("n_confirmed"), F.max("correlation").alias("max_correlation"))
+    return counts.crossJoin(pairs.agg(F.count("*").alias("n_candidates"))).crossJoin(found)

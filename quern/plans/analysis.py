@@ -148,7 +148,8 @@ def best_threshold(spark, d):
     return at6(metrics.best_threshold(b.frame(spark, d)), "f1")
 
 
-RESAMPLES = 40
+#: As many as the evaluation's default.
+RESAMPLES = 2000
 BOOT = f"""{FRAME}, g AS (SELECT group_id, row_number() OVER (ORDER BY group_id) - 1 AS rank, count(*) OVER () AS n FROM (SELECT DISTINCT group_id FROM frame)),
 draws AS (SELECT r.i AS resample, ('0x' || sha256('{SEED}|' || r.i || '|' || p.i)[1:8])::BIGINT % (SELECT max(n) FROM g) AS rank FROM range({RESAMPLES}) r(i), range((SELECT max(n) FROM g)) p(i)),
 weights AS (SELECT resample, group_id, count(*) AS w FROM draws JOIN g USING (rank) GROUP BY ALL),
@@ -249,10 +250,42 @@ def _ranking(spark, d):
     return active.group_uncertainty(table(spark, d, "events").withColumn("p", F.col("value") / 500.0), "user_id", "p")
 
 
-@query(f"WITH {RANKING} SELECT user_id, {r6('uncertainty')} AS uncertainty FROM u")
+@query(f"WITH {RANKING}, v AS (SELECT user_id, {r6('uncertainty')} AS uncertainty FROM u) SELECT *, row_number() OVER (ORDER BY uncertainty DESC, user_id) AS rank FROM v")
 def entropy_rank(spark, d):
-    """ACT-01, FN-17, WIN-05: mean entropy of each group."""
-    return at6(_ranking(spark, d), "uncertainty")
+    """ACT-01, FN-17, WIN-05: mean entropy of each group, and its rank."""
+    return active.ranking(at6(_ranking(spark, d), "uncertainty"), "user_id")
+
+
+@query("SELECT d.doc_id, coalesce(l.quality, -1)::INTEGER AS quality, coalesce(l.toxic, -1)::INTEGER AS toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
+def checked_join(spark, d):
+    """JN-07: a left join after the check that it can't multiply rows; -1 where there is no label."""
+    docs, lab = table(spark, d, "documents").select("doc_id"), table(spark, d, "labels")
+    return evaluation.checked_left_join(docs, lab, ["doc_id"]).select("doc_id", *[F.coalesce(F.col(c).cast("int"), F.lit(-1)).alias(c) for c in ("quality", "toxic")])
+
+
+REPORT = ("n_pos", "n_neg", "auroc"), ("tp", "fp", "tn", "fn", *RATE_COLUMNS)
+
+
+def _long_sql(name: str, section: str, columns: tuple[str, ...]) -> str:
+    return " UNION ALL ".join(f"SELECT '{section}' AS section, '{c}' AS metric, \"{c}\"::DOUBLE AS value FROM ({ORACLES[name]})" for c in columns)
+
+
+@query(" UNION ALL ".join([_long_sql("auroc", "ranking", REPORT[0]), _long_sql("classification_metrics", "threshold", REPORT[1]), _long_sql("trivial_baseline", "baseline", REPORT[1]), _long_sql("operating_point", "operating-point", ("threshold", *REPORT[1])), _long_sql("group_level_report", "groups", ("n_pos", "n_neg", "comparable_pairs", "auroc_granularity", "auroc"))]))
+def evaluation_report(spark, d):
+    """EVL-07: one long table (section, metric, value) of a run's whole evaluation."""
+    return evaluation.report({
+        "ranking": auroc(spark, d).select(*REPORT[0]),
+        "threshold": classification_metrics(spark, d).select(*REPORT[1]),
+        "baseline": trivial_baseline(spark, d).select(*REPORT[1]),
+        "operating-point": operating_point(spark, d).select("threshold", *REPORT[1]),
+        "groups": group_level_report(spark, d),
+    })
+
+
+@query(f"WITH {CHAIN} SELECT seq, record_hash FROM chained ORDER BY seq DESC LIMIT 25")
+def audit_tail(spark, d):
+    """SRT-05, API-09: the newest records of the log."""
+    return audit.tail(b.chained(spark, d), 25).select("seq", "record_hash")
 
 
 POOL = f"""flags AS (SELECT user_id, max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END)::INTEGER AS buys FROM events GROUP BY user_id),

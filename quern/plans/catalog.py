@@ -326,13 +326,47 @@ def leakage_confirmed(spark, d):
     return similarity.confirm(pairs, rows, "vec_id", "embedding", 0.3).withColumn("correlation", F.floor(F.col("correlation") * 1e6 + 0.5) / 1e6)
 
 
-@query("""WITH l AS (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '\\s+', ' ', 'g'), ' ')) AS h FROM documents) SELECT x.doc_id AS doc_id, y.doc_id AS other_id FROM l x JOIN l y USING (h) WHERE x.doc_id % 2 = 0 AND y.doc_id % 2 = 1""")
+@query("""WITH l AS (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '\\s+', ' ', 'g'), ' ')) AS h FROM documents)
+ SELECT min(doc_id) FILTER (doc_id % 2 = 0) AS doc_id, min(doc_id) FILTER (doc_id % 2 = 1) AS other_id, count_if(doc_id % 2 = 0)::BIGINT AS n_left, count_if(doc_id % 2 = 1)::BIGINT AS n_right FROM l GROUP BY h HAVING n_left > 0 AND n_right > 0""")
 def leakage_text_exact(spark, d):
-    """QC-08 on texts: equal texts on both sides of a split."""
+    """QC-08 on texts: equal texts on both sides of a split, with their counts."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     return similarity.shared_texts(docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1").withColumnRenamed("doc_id", "other_id"), "doc_id", "other_id")
 
 
+@query(f"WITH {HAMMING.replace('<= 16', '<= 2')} SELECT * FROM near")
+def hamming_candidates_tight(spark, d):
+    """JN-14 at the leakage gate's radius of 2 bits: an equi-join on bands."""
+    rows = table(spark, d, "embeddings").withColumn("bits", similarity.difference_bits(F.col("embedding")))
+    return similarity.near_pairs(rows, "vec_id", "label", "bits", 2)
+
+
+@query(f"""WITH {CONFIRMED}, s AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label)
+ SELECT (SELECT sum(n)::BIGINT FROM s) AS n_rows, (SELECT ((sum(n) * sum(n) - sum(n * n)) / 2)::BIGINT FROM s) AS n_compared, (SELECT count(*) FROM near) AS n_candidates,
+ (SELECT count(*) FROM confirmed) AS n_confirmed, (SELECT floor(max(correlation) * 1e6 + 0.5) / 1e6 FROM confirmed) AS max_correlation""")
+def leakage_statistics(spark, d):
+    """QC-08: how many pairs were compared, near and confirmed, and the largest correlation."""
+    rows, pairs = _near(spark, d)
+    confirmed = similarity.confirm(pairs, rows, "vec_id", "embedding", 0.3)
+    found = similarity.leakage_statistics(rows, pairs, confirmed, "label")
+    return found.withColumn("max_correlation", F.floor(F.col("max_correlation") * 1e6 + 0.5) / 1e6)
+
+
+@query(f"WITH {CONFIRMED} SELECT a, b, hamming, floor(correlation * 1e6 + 0.5) / 1e6 AS correlation FROM confirmed ORDER BY confirmed.correlation DESC, a, b LIMIT 10")
+def leakage_top(spark, d):
+    """SRT-04: the closest candidates, in the order of the unrounded correlation."""
+    rows, pairs = _near(spark, d)
+    top = similarity.confirm(pairs, rows, "vec_id", "embedding", 0.3).orderBy(F.desc("correlation"), "a", "b").limit(10)
+    return top.withColumn("correlation", F.floor(F.col("correlation") * 1e6 + 0.5) / 1e6)
+
+
+@query("""SELECT d.doc_id, d.lang, d.n_chars, coalesce(l.quality, -1)::INTEGER AS quality, coalesce(l.toxic, -1)::INTEGER AS toxic FROM documents d LEFT JOIN labels l USING (doc_id) WHERE d.source = 'src1'""")
+def group_detail(spark, d):
+    """API-03: one group's items with their labels (-1: none); an absent group gives no rows."""
+    docs = table(spark, d, "documents").filter(F.col("source") == "src1").select("doc_id", "lang", "n_chars")
+    return docs.join(table(spark, d, "labels"), "doc_id", "left").select("doc_id", "lang", "n_chars", *[F.coalesce(F.col(c).cast("int"), F.lit(-1)).alias(c) for c in ("quality", "toxic")])
+
+
 CHECKS = ["slice-counts", "orphans", "mask-label-agreement", "demographics", "leakage"]
 
 
