@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from quern.llm.storage import materialize
 
@@ -80,9 +80,12 @@ def with_next(docs: DataFrame, key: str = "key", text: str = "text", keep=lambda
 
     The key order is cut into stretches at approximate quantiles. Each stretch also gets the first
     row of the one after, so one shuffle by stretch serves and no task sees the whole order. Null
-    keys come first and rows of one key go by text. ``keep`` may add columns after the shuffle.
+    keys come first and rows of one key go by text; keys that aren't whole numbers go in the order of their bytes. ``keep`` may add columns after the shuffle.
     """
-    order = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
+    kind = docs.schema[key].dataType
+    # other keys than whole numbers go by the first seven bytes of their text, and then as they are
+    head = F.conv(F.rpad(F.hex(F.substring(F.col(key).cast("string").cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    order = F.coalesce(F.col(key).cast("long") if isinstance(kind, T.IntegralType) else head, F.lit(-(1 << 63)))
     rows = docs.count()
     count = max(1, min(STRETCHES, math.ceil(rows / STRETCH_ROWS)))
     cuts = docs.select(order.alias("k")).agg(F.min("k").alias("least"), F.percentile_approx("k", [i / count for i in range(1, count)] or [0.5], max(10_000, 10 * count)).alias("cuts")).first()
@@ -102,7 +105,7 @@ def with_next(docs: DataFrame, key: str = "key", text: str = "text", keep=lambda
     placed = placed.withColumn("_at", F.explode(F.coalesce(ghost, F.array(F.struct(F.lit(False).alias("ghost"), F.col("_s").alias("s"))))))
     placed = placed.select(*docs.columns, "_k", F.col("_at.ghost").alias("_ghost"), F.col("_at.s").alias("_stretch")).repartition("_stretch")
     placed = keep(placed)
-    follows = Window.partitionBy("_stretch").orderBy("_ghost", "_k", text)
+    follows = Window.partitionBy("_stretch").orderBy("_ghost", "_k", key, text)
     added = [c for c in placed.columns if not c.startswith("_")]
     return placed.select("*", *[F.lead(c).over(follows).alias(f"next_{c}") for c in added]).filter("not _ghost").drop("_k", "_ghost", "_stretch")
 

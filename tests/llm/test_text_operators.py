@@ -284,6 +284,10 @@ def test_next_with_ties_nulls_and_repeats(spark, monkeypatch):
     order = sorted(rows, key=lambda r: (r[0] if r[0] is not None else -(1 << 63), r[1]))
     want = [(*r, order[(i + 1) % len(order)][1]) for i, r in enumerate(order)]
     assert sorted([(r.key, r.text, r.next_text) for r in got], key=repr) == sorted(want, key=repr)
+    named = [(str(r[0]) if r[0] is not None else None, r[1]) for r in rows] + [("doc-b", "q"), ("doc-a", "r"), ("é", "s"), ("", "e")]
+    got = spotsigs.with_next(spark.createDataFrame(named, "key string, text string")).collect()
+    order = sorted(named, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1]))
+    assert sorted([(r.key, r.text, r.next_text) for r in got], key=repr) == sorted([(*r, order[(i + 1) % len(order)][1]) for i, r in enumerate(order)], key=repr)
     lone = spotsigs.edited_likeness(spark.createDataFrame([(1, "the big tree of it")], DOC)).first()
     assert lone.near_next == 1.0
     assert spotsigs.edited_likeness(spark.createDataFrame([], DOC)).count() == 0
