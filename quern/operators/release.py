@@ -97,3 +97,16 @@ def restrict_train(rows: DataFrame, chosen: DataFrame, group: str) -> DataFrame:
     """Train rows of the chosen groups alone; the other splits are untouched."""
     train = rows.filter("split = 'train'").join(chosen.select(group).distinct(), group, "left_semi")
     return train.unionByName(rows.filter("split <> 'train'").select(*train.columns))
+
+
+def references(index: DataFrame, curated: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(path, issue) of index rows whose file isn't what was recorded.
+
+    A path starts with a pseudonym; ``tokens`` (identifier, pseudonym) gives the real folder of
+    ``curated`` (rel_path, sha256). Issues: unresolvable-pseudonym, missing, content-changed.
+    """
+    parts = index.select("path", "sha256", F.substring_index("path", "/", 1).alias("pseudonym"), F.expr("substring(path, instr(path, '/') + 1)").alias("rest"))
+    named = parts.join(tokens.select("pseudonym", F.col("identifier").cast("string").alias("identifier")), "pseudonym", "left").withColumn("rel_path", F.concat_ws("/", "identifier", "rest"))
+    joined = named.join(curated.select("rel_path", F.col("sha256").alias("now")), "rel_path", "left")
+    issue = F.when(F.col("identifier").isNull(), "unresolvable-pseudonym").when(F.col("now").isNull(), "missing").when(F.col("now") != F.col("sha256"), "content-changed")
+    return joined.select("path", issue.alias("issue")).filter("issue is not null")

@@ -100,6 +100,20 @@ def release_verify(spark, d):
     return release.verify(b.altered(inv), inv, key="rel_path")
 
 
+@query(f"""WITH {INDEX}, tok AS (SELECT DISTINCT source, 'PAT-' || {HMAC.format('source')}[1:12] AS pseudonym FROM documents WHERE source <> 'src3'),
+ cur AS (SELECT source || '/' || lang || '/' || doc_id || '.txt' AS rel_path, CASE WHEN doc_id % 13 = 0 THEN sha256(sha256(text) || 'x') ELSE sha256(text) END AS now FROM documents WHERE doc_id % 29 <> 0),
+ j AS (SELECT rel.path, rel.sha256, tok.source, cur.now FROM rel LEFT JOIN tok ON tok.pseudonym = split_part(rel.path, '/', 1) LEFT JOIN cur ON cur.rel_path = tok.source || '/' || split_part(rel.path, '/', 2) || '/' || split_part(rel.path, '/', 3))
+ SELECT path, CASE WHEN source IS NULL THEN 'unresolvable-pseudonym' WHEN now IS NULL THEN 'missing' ELSE 'content-changed' END AS issue FROM j WHERE source IS NULL OR now IS NULL OR now <> sha256""")
+def release_references(spark, d):
+    """REL-06, REL-08: pseudonymous paths resolved to curated files, some of them gone or changed."""
+    docs = table(spark, d, "documents")
+    tokens = docs.filter("source <> 'src3'").select(F.col("source").alias("identifier")).distinct().withColumn("pseudonym", pseudonym(F.col("identifier"), SALT))
+    sha = F.sha2("text", 256)
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    curated = docs.filter("doc_id % 29 <> 0").select(path.alias("rel_path"), F.when(F.col("doc_id") % 13 == 0, F.sha2(F.concat(sha, F.lit("x")), 256)).otherwise(sha).alias("sha256"))
+    return release.references(_index(spark, d), curated, tokens)
+
+
 @query(f"""WITH {INV}, w AS (SELECT rel_path, unnest(list_distinct(regexp_split_to_array(rel_path, '[^A-Za-z0-9_]+'))) AS word FROM inv) SELECT 'rel_path' AS "column", source AS identifier, count(*) AS n_rows FROM w JOIN (SELECT DISTINCT source FROM documents) s ON s.source = w.word GROUP BY source""")
 def release_leaks(spark, d):
     """REL-06, FN-15: real identifiers that stand as words in a release."""

@@ -23,9 +23,10 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
 
 
 def wide_labels(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A CSV with a header and a declared schema; names are trimmed."""
-    raw = spark.read.csv(path, header=True, schema=schema)
-    return raw.toDF(*[c.strip() for c in raw.columns])
+    """A CSV with a header and a declared schema, columns in its order; a byte-order mark that leads
+    the header is no part of a name, and names are trimmed."""
+    raw = spark.read.csv(path, header=True, schema=schema, enforceSchema=True)
+    return raw.toDF(*[c.lstrip("\ufeff").strip() for c in raw.columns])
 
 
 def profiles(spark: SparkSession, path: str) -> DataFrame:

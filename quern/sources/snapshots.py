@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_CURRENT"
+#: Names that start with an underscore are hidden from Spark's readers.
+POINTER = "CURRENT"
 
 
 def _file_system(spark: SparkSession, path: str):
