@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -54,3 +55,10 @@ def discard(*tables: DataFrame | None) -> None:
         if where := getattr(table, "_quern_table", None):
             files, target = _path(table.sparkSession, where)
             files.delete(target, True)
+
+
+def reclaim(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished queries now. Its cleaner does so when the
+    driver's JVM collects garbage, which a driver with little to do puts off."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
