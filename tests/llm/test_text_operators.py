@@ -157,6 +157,21 @@ def five_words(text):
     return {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
 
 
+def test_sketches_never_differ_in_more_bits_than_members(spark):
+    rng = np.random.default_rng(7)
+    rows, want = [], []
+    for n in (1, 3, 500, 512, 513, 600, 1024, 1100, 5000):
+        a = np.unique(rng.integers(-(1 << 63), 1 << 63, n, dtype=np.int64))
+        for share in (0.0, 0.1, 0.25, 0.5):
+            cut = int(len(a) * share)
+            b = np.unique(np.concatenate([a[cut:], rng.integers(-(1 << 63), 1 << 63, cut // 2, dtype=np.int64)]))
+            rows.append((copies.sketch(a).tolist(), copies.sketch(b).tolist()))
+            want.append(len(np.setxor1d(a, b)))
+    got = [r.d for r in spark.createDataFrame(rows, "a array<long>, b array<long>").select(copies.apart(F.col("a"), F.col("b")).alias("d")).collect()]
+    assert all(g <= w for g, w in zip(got, want)) and all(g == 0 for g, w in zip(got, want) if w == 0)
+    assert got[-1] > 0.5 * want[-1]
+
+
 def test_near_copies_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(copies, "PART", 1)
     rng = random.Random(12)
