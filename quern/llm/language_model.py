@@ -8,11 +8,14 @@ Words and n-grams are 64-bit hashes. Tasks turn documents into packs: the distin
 their counts, sorted and dealt to ranges of the hash space, and each token's place among them. One
 shuffle brings a range's packs together, where counts are summed, and one brings the sums back to
 the packs they came from. Ranges and packs are bounded, so no task holds a whole vocabulary.
+Where there are so many ranges that each pack would be dealt in crumbs, packs are dealt to few
+coarse ranges, merged there into packs of their own, and those are dealt on.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -22,11 +25,15 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from quern.llm.storage import materialize
+from quern.llm.storage import discard, materialize
 
 ORDER = 2
 #: Tokens of one pack, and tokens that a range of the hash space holds on average.
 PACK_TOKENS, RANGE_TOKENS = 350_000, 3_000_000
+#: Ranges that a pack is dealt to at once, at most; beyond it packs are dealt in two steps.
+WAYS = 4096
+#: Tasks that ranges are shared out to, at most; a task takes its ranges one by one.
+TASKS = 20_000
 #: Remainder of the held-out texts, and of the training texts that learn the mixtures, modulo FOLDS.
 FOLDS, HELD_OUT, MIXTURE_FOLD = 10, 0, 1
 ROUNDS = 60
@@ -184,10 +191,30 @@ def _make_packs(order: int):
     return run
 
 
+#: What a dealt row comes from: a pack, one of the mixture fold, or several packs merged.
+STATE, MIXTURE, MERGED = range(3)
+
+
+def _edges(low: int, high: int, parts: int) -> list[int]:
+    """The bounds of equal parts of a stretch of the hash space."""
+    return [low + (high - low) * k // parts for k in range(parts + 1)]
+
+
+def _dealt(pack: int, origin: int, hashes: np.ndarray, columns: list[np.ndarray], first: int, edges: list[int]) -> dict[str, pa.Array]:
+    """A pack's sorted hashes with columns of counts, as a row for each range that has any; the
+    ranges are numbered from ``first``."""
+    cuts = [0, *np.searchsorted(hashes, np.array(edges[1:-1], dtype=np.uint64)).tolist(), len(hashes)]
+    spans = [(first + k, lo, hi) for k, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if lo < hi]
+    mark = put(np.uint8([origin]))
+    bodies = [_join(mark, put_sorted(hashes[lo:hi]), *(put(small(c[lo:hi])) for c in columns)) for _, lo, hi in spans]
+    return {"range": pa.array([r for r, _, _ in spans], pa.int32()), "pack": pa.array([pack] * len(spans), pa.int64()), "body": pa.array(bodies, pa.binary())}
+
+
 def _make_keys(ranges: int, order: int):
     """Rows of ``_make_packs`` to (range, pack, body): a pack's hashes and their counts by range.
 
     They go straight to a shuffle; only the packs, which are smaller, are written as a table."""
+    edges = _edges(0, 1 << HASH_BITS, ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,14 +226,8 @@ def _make_keys(ranges: int, order: int):
                 counts = np.bincount(np.concatenate([*places, *firsts]), weights=weight, minlength=len(hashes)).astype(np.int64)
                 is_word = np.zeros(len(hashes), dtype=np.uint8)
                 is_word[places[0]] = 1
-                cuts = [0, *np.searchsorted(hashes, [np.uint64((r << HASH_BITS) // ranges) for r in range(1, ranges)]).tolist(), len(hashes)]
-                spans = [(r, lo, hi) for r, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if lo < hi]
-                mixture = put(np.uint8([kind.as_py() == "mixture"]))
-                bodies = [_join(put_sorted(hashes[lo:hi]), put(small(counts[lo:hi])), put(is_word[lo:hi]), mixture) for _, lo, hi in spans]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r for r, _, _ in spans], pa.int32()), pa.array([number.as_py()] * len(spans), pa.int64()), pa.array(bodies, pa.binary())],
-                    names=["range", "pack", "body"],
-                )
+                origin = MIXTURE if kind.as_py() == "mixture" else STATE
+                yield pa.RecordBatch.from_pydict(_dealt(number.as_py(), origin, hashes, [counts, is_word], 0, edges))
 
     return run
 
@@ -229,37 +250,112 @@ def _split(raw: bytes) -> list[bytes]:
 
 
 COUNTED = "pack bigint, range int, body binary, known bigint, tokens bigint, fitted bigint"
+MERGES = "member bigint, range int, pack bigint, body binary"
+SUMS = "pack bigint, range int, body binary"
+
+
+class Summed:
+    """Rows of one range: the distinct hashes, their counts over all training texts (``total``) and
+    over those outside the mixture fold (``fitted``), which are words, and each row's places."""
+
+    def __init__(self, rows: pa.Table):
+        self.packs = rows.column("pack").to_pylist()
+        parts = [_split(x) for x in rows.column("body").to_pylist()]
+        self.origins = [int(get(p[0], "u")[0]) for p in parts]
+        hashes = [get_sorted(p[1]) for p in parts]
+        counts = [get(p[2], "u").astype(np.int64) for p in parts]
+        fitted = [get(p[4], "u").astype(np.int64) if o == MERGED else c * (o != MIXTURE) for p, o, c in zip(parts, self.origins, counts)]
+        self.hashes, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+        sum_up = lambda xs: np.bincount(inverse, weights=np.concatenate(xs), minlength=len(self.hashes)).astype(np.int64)
+        self.total, self.fitted = sum_up(counts), sum_up(fitted)
+        self.is_word = sum_up([get(p[3], "u") for p in parts]) > 0
+        self.places = np.split(inverse, np.cumsum([len(h) for h in hashes])[:-1])
+
+
+def _sums(origin: int, total: np.ndarray, fitted: np.ndarray) -> bytes:
+    """What a pack gets back. The mixture fold's are judged by what the others count, and in the end
+    scored with all counts, so they get both."""
+    return _join(put(small(total))) if origin == STATE else _join(put(small(fitted)), put(small(total)))
 
 
 def _sum_range(key, rows):
-    """Sum one range's packs. Each pack gets back the sums of its hashes, in their order: over all
-    training texts, or for packs of the mixture fold over the others. The first row has the range's
-    distinct training words, their tokens, and those outside the mixture fold."""
-    packs = rows.column("pack").to_pylist()
-    parts = [_split(x) for x in rows.column("body").to_pylist()]
-    hashes = [get_sorted(p[0]) for p in parts]
-    counts = [get(p[1], "u").astype(np.int64) for p in parts]
-    mixture = [bool(get(p[3], "u")[0]) for p in parts]
-    unique, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-    sum_up = lambda xs: np.bincount(inverse, weights=np.concatenate(xs), minlength=len(unique)).astype(np.int64)
-    total, fitted = sum_up(counts), sum_up([c * (not m) for c, m in zip(counts, mixture)])
-    is_word = sum_up([get(p[2], "u") for p in parts]) > 0
-    facts = int((is_word & (total > 0)).sum()), int(total[is_word].sum()), int(fitted[is_word].sum())
-    here = np.split(inverse, np.cumsum([len(h) for h in hashes])[:-1])
-    bodies = [put(small((fitted if m else total)[h])) for h, m in zip(here, mixture)]
-    if any(mixture):  # those are scored with all counts in the end
-        bodies = [_join(b, put(small(total[h]))) if m else _join(b) for b, h, m in zip(bodies, here, mixture)]
-    else:
-        bodies = [_join(b) for b in bodies]
-    first = lambda v: pa.array([v] + [0] * (len(packs) - 1), pa.int64())
+    """Sum one range's packs. Each pack gets back the sums of its hashes, in their order. The first
+    row has the range's distinct training words, their tokens, and those outside the mixture fold."""
+    found = Summed(rows)
+    words = found.is_word
+    facts = int((words & (found.total > 0)).sum()), int(found.total[words].sum()), int(found.fitted[words].sum())
+    first = lambda v: pa.array([v] + [0] * (len(found.packs) - 1), pa.int64())
     return pa.table({
-        "pack": pa.array(packs, pa.int64()),
-        "range": pa.array([key[0].as_py()] * len(packs), pa.int32()),
-        "body": pa.array(bodies, pa.binary()),
+        "pack": pa.array(found.packs, pa.int64()),
+        "range": pa.array([key[0].as_py()] * len(found.packs), pa.int32()),
+        "body": pa.array([_sums(o, found.total[at], found.fitted[at]) for o, at in zip(found.origins, found.places)], pa.binary()),
         **{name: first(v) for name, v in zip(("known", "tokens", "fitted"), facts)},
     })
 
 
+def _merge_packs(coarse: int, fine: int):
+    """Packs of one group in a coarse range to one pack, dealt to that range's ``fine`` ones, and a
+    row for each member with its places in that pack."""
+
+    def run(key, rows):
+        where, group = (k.as_py() for k in key)
+        found = Summed(rows)
+        number = (where << 40) + group
+        low, high = _edges(0, 1 << HASH_BITS, coarse)[where : where + 2]
+        keys = _dealt(number, MERGED, found.hashes, [found.total, found.is_word.astype(np.uint8), found.fitted], where * fine, _edges(low, high, fine))
+        places = [_join(put(np.uint8([o])), put(small(at))) for o, at in zip(found.origins, found.places)]
+        n, m = len(keys["pack"]), len(places)
+        return pa.table({
+            "member": pa.array([None] * n + found.packs, pa.int64()),
+            "range": pa.array(keys["range"].to_pylist() + [where] * m, pa.int32()),
+            "pack": pa.array([number] * (n + m), pa.int64()),
+            "body": pa.array(keys["body"].to_pylist() + places, pa.binary()),
+        })
+
+    return run
+
+
+def _part_packs(key, rows):
+    """A merged pack's members and its sums by fine range to the sums of each member."""
+    rows = sorted(rows.to_pylist(), key=lambda r: r["range"])
+    sums = [_split(r["body"]) for r in rows if r["member"] is None]
+    fitted, total = (np.concatenate([get(x[k], "u").astype(np.int64) for x in sums]) for k in range(2))
+    members = [(r["member"], r["range"], *_split(r["body"])) for r in rows if r["member"] is not None]
+    parted = [(int(get(o, "u")[0]), get(at, "u")) for _, _, o, at in members]
+    return pa.table({
+        "pack": pa.array([m[0] for m in members], pa.int64()),
+        "range": pa.array([m[1] for m in members], pa.int32()),
+        "body": pa.array([_sums(o, total[at], fitted[at]) for o, at in parted], pa.binary()),
+    })
+
+
+def _by_range(keys: DataFrame, ranges: int) -> DataFrame:
+    return keys.repartition(min(ranges, TASKS), "range").groupBy("range").applyInArrow(_sum_range, COUNTED)
+
+
+def _count(packs: DataFrame, ranges: int, order: int, ways: int) -> tuple[DataFrame, DataFrame]:
+    """(pack, range, body): each pack's sums; and a table of the ranges' facts.
+
+    Dealt at once, rows are packs times ranges, and both grow with the input. In two steps a pack
+    makes a row for each of about the root of ``ranges``, and so does a merged one, which holds as
+    much as a pack and of which there are as many.
+    """
+    if ranges <= ways:
+        counted = materialize(_by_range(packs.mapInArrow(_make_keys(ranges, order), KEYS), ranges), "lm-counts")
+        return counted, counted
+    coarse = math.isqrt(ranges - 1) + 1
+    fine = -(-ranges // coarse)
+    groups = max(1, -(-packs.count() // coarse))
+    keyed = packs.mapInArrow(_make_keys(coarse, order), KEYS).withColumn("group", F.pmod(F.xxhash64("pack"), F.lit(groups)))
+    spread = keyed.repartition(min(coarse * groups, TASKS), "range", "group")
+    merged = materialize(spread.groupBy("range", "group").applyInArrow(_merge_packs(coarse, fine), MERGES), "lm-merged")
+    counted = materialize(_by_range(merged.filter("member is null").select("range", "pack", "body"), coarse * fine), "lm-ranges")
+    back = merged.filter("member is not null").union(counted.select(F.lit(None).cast("long").alias("member"), "range", "pack", "body"))
+    sums = materialize(back.repartition(min(coarse * groups, TASKS), "pack").groupBy("pack").applyInArrow(_part_packs, SUMS), "lm-counts")
+    discard(merged)
+    return sums, counted
+
+
 def bucket(context: np.ndarray) -> np.ndarray:
     """Context-frequency bucket: 0 for none, else 1 + the binary logarithm, up to 40."""
     return np.where(context > 0, np.minimum(40, 1 + np.floor(np.log2(np.maximum(context, 1)))), 0).astype(np.int64)
@@ -311,23 +407,23 @@ def _weight_table(learnt: dict[int, np.ndarray], order: int) -> np.ndarray:
     return table / table.sum(axis=1, keepdims=True)
 
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER, weights: np.ndarray | None = None) -> DataFrame:
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER, weights: np.ndarray | None = None, ways: int = WAYS) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Tokens are the words and one end. Texts whose key's CRC-32 leaves HELD_OUT are not learnt from.
     ``base_score`` is the add-ADD unigram score and ``score`` the interpolated model's, both base-10
     logarithms of the whole text's probability. Null texts count as empty, a null key's fold is that
     of the empty text, and repeated rows are texts of their own. An empty table gives no rows.
-    ``weights`` (by bucket and estimate) take the place of learnt ones.
+    ``weights`` (by bucket and estimate) take the place of learnt ones. ``ways`` changes the plan
+    alone (see ``_count``).
     """
     kind = docs.schema[key].dataType
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(6, int(size * order // (6 * RANGE_TOKENS)) + 1)
     packs = materialize(slim.mapInArrow(_make_packs(order), PACKS), "lm-packs")
-    keyed = packs.mapInArrow(_make_keys(ranges, order), KEYS).repartition(ranges, "range")
-    counted = materialize(keyed.groupBy("range").applyInArrow(_sum_range, COUNTED), "lm-counts")
-    facts = counted.agg(F.sum("known"), F.sum("tokens"), F.sum("fitted")).first()
+    counted, facts = _count(packs, ranges, order, ways)
+    facts = facts.agg(F.sum("known"), F.sum("tokens"), F.sum("fitted")).first()
     known, tokens, fitted = (int(v or 0) for v in facts)
 
     def with_counts(states: DataFrame, sums: DataFrame) -> DataFrame:

@@ -358,14 +358,14 @@ def brute_scores(docs, weights, order):
     return out
 
 
-@pytest.mark.parametrize("order, pack", [(2, 350_000), (2, 40), (3, 60)])
-def test_language_model(spark, order, pack, monkeypatch):
+@pytest.mark.parametrize("order, pack, ways", [(2, 350_000, 4096), (2, 40, 4096), (3, 60, 4096), (2, 40, 2), (3, 60, 5)])
+def test_language_model(spark, order, pack, ways, monkeypatch):
     monkeypatch.setattr(lm, "PACK_TOKENS", pack)
     rng = random.Random(order)
     docs = [(i, " ".join(rng.choices(["a", "B", "c", "dd", "eé", "f\tg"], k=rng.randint(0, 25)))) for i in range(60)] + [(None, "a c"), (3, "a a"), (3, "a a"), (77, None)]
     weights = np.abs(np.random.default_rng(0).normal(size=(64 * order, order + 1))) + 0.1
     weights /= weights.sum(axis=1, keepdims=True)
-    got = lm.score(spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, pack int"), order=order, weights=weights).collect()
+    got = lm.score(spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, pack int"), order=order, weights=weights, ways=ways).collect()
     key = lambda r: (repr(r[0]), r[2], round(r[5], 6))
     for a, b in zip(sorted(map(tuple, got), key=key), sorted(brute_scores(docs, weights, order), key=key), strict=True):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5]) and a[6] == pytest.approx(b[6])
@@ -379,6 +379,14 @@ def test_language_model_learns(spark):
     assert lm.score(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_language_model_in_two_steps_learns_the_same(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PACK_TOKENS", 100)
+    docs = spark.createDataFrame([(i, f"a b c{i % 7} d{i % 11} a b") for i in range(80)], DOC)
+    once, twice = ({r.doc_id: r.score for r in lm.score(docs, ways=w).collect()} for w in (lm.WAYS, 3))
+    assert once.keys() == twice.keys() and all(once[k] == pytest.approx(twice[k]) for k in once)
+    assert lm.score(docs.limit(0), ways=3).count() == 0
+
+
 def test_mixture_finds_the_better_estimate():
     got = lm._expect({(1, -30, -20, -1): 90.0, (1, -30, -10, lm.NOTHING): 10.0}, 2)[1]
     assert got.sum() == pytest.approx(1) and got[2] > 0.8
