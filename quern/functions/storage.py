@@ -33,6 +33,12 @@ def _path(spark: SparkSession, where: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def delete_at_end(spark: SparkSession, where: str) -> None:
+    """Have a folder deleted when the application ends."""
+    files, target = _path(spark, where)
+    files.deleteOnExit(target)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
@@ -42,8 +48,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     where = f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex}"
     df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(where)
-    files, target = _path(spark, where)
-    files.deleteOnExit(target)
+    delete_at_end(spark, where)
     table = spark.read.schema(df.schema).parquet(where)
     table._quern_table = where
     return table
