@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quern.llm import bpe, decontamination, html, language_model, quality, quotes, simhash, spotsigs, toxicity, urls
+from quern.llm import bpe, decontamination, html, language_model, quality, quotes, repair, simhash, spotsigs, token_files, toxicity, urls, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex("bits").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every usable embedding."""
+    return whitening.by_component(table(spark, sf_dir, "embeddings"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, audit and repaired digest of every damaged conversation."""
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from ORC files."""
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over documents."""
     import corpus_pipeline
@@ -96,6 +111,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_winnowing": op8_winnowing,
         "op9_html_field": op9_html_field,
         "op10_simhash": op10_simhash,
+        "op11_whitening": op11_whitening,
+        "op12_repair": op12_repair,
+        "op13_token_files": op13_token_files,
         "pipeline": pipeline,
     }
 
