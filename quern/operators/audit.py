@@ -7,73 +7,82 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quern.functions.ordered import with_previous
 from quern.functions.storage import materialize
+from quern.operators import folders, merkle
 
-GENESIS = "0" * 64
+GENESIS = merkle.GENESIS
 MAX_DEPTH = 10
+#: What a record's own hash leaves out.
+OWN = "record_hash"
 
 
-def record_hash(record: dict, previous: str) -> str:
-    """SHA-256 over the previous hash and the record's canonical JSON, without its own hash."""
-    body = {k: v for k, v in record.items() if k != "record_hash"}
-    canonical = json.dumps(body, sort_keys=True, separators=(",", ":"), default=str)
-    return hashlib.sha256(f"{previous}\n{canonical}".encode()).hexdigest()
+def canonical(value: object) -> str:
+    """JSON with sorted keys and no spaces; what JSON doesn't know becomes text."""
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), default=str)
 
 
-def seal(record: dict, last: dict | None) -> dict:
-    """``record`` with seq, prev_hash and record_hash, to be appended after ``last``."""
-    sealed = {**record, "seq": (last["seq"] if last else 0) + 1, "prev_hash": last["record_hash"] if last else GENESIS}
-    return {**sealed, "record_hash": record_hash(sealed, sealed["prev_hash"])}
+def sealed_after(last: dict | None, record: dict) -> dict:
+    """``record`` as the one after ``last``: numbered, with the hash before it and its own, which is
+    SHA-256 over that hash, a line end and the rest of the record."""
+    at, before = (last["seq"], last[OWN]) if last else (0, GENESIS)
+    body = {k: v for k, v in record.items() if k != OWN} | {"seq": at + 1, "prev_hash": before}
+    return body | {OWN: hashlib.sha256("\n".join((before, canonical(body))).encode()).hexdigest()}
 
 
-def chain(records: list[dict]) -> list[dict]:
-    """Seal records in order. A chain is sequential by nature; logs are small."""
-    out: list[dict] = []
-    for r in records:
-        out.append(seal(r, out[-1] if out else None))
-    return out
+def _leaves(log: DataFrame, payload: Column, seq: str) -> DataFrame:
+    return log.select((F.col(seq).cast("long") - 1).alias("pos"), merkle.leaf(payload).alias("hash"))
 
 
 def linked(log: DataFrame, payload: Column, order: str) -> DataFrame:
-    """Rows with prev_hash and record_hash of a two-level chain that builds in parallel.
-
-    A row's own hash is over its payload; its record hash is over the hashes of the row before and
-    of itself, so an edit, a removal or a swap shows at that row and the next.
-    """
-    before = with_previous(log.withColumn("own", F.sha2(payload, 256)), order, "own", "prev_hash")
-    sealed = before.withColumn("prev_hash", F.coalesce("prev_hash", F.lit(GENESIS)))
-    return sealed.withColumn("record_hash", F.sha2(F.concat_ws("\n", "prev_hash", "own"), 256)).drop("own")
+    """``log`` (numbered from 1) with prev_hash and record_hash: the roots of the hash trees over all
+    records before a row, and over those and itself. So an edit anywhere changes every later row."""
+    roots = merkle.prefix_roots(_leaves(log, payload, order))
+    return log.join(roots, F.col(order).cast("long") - 1 == roots["pos"]).drop("pos")
 
 
-def breaks(log: DataFrame, recompute: Column, previous: Column, seq: str = "seq", stored: str = "record_hash", prev: str = "prev_hash") -> DataFrame:
-    """(seq, detail) for every row that doesn't fit the chain: a gap in seq, a previous hash that
-    isn't the row before's, or a record hash that isn't its content's; the first that holds.
+def breaks(log: DataFrame, payload: Column, seq: str = "seq", stored: str = "record_hash", prev: str = "prev_hash") -> DataFrame:
+    """(seq, detail) for every row that doesn't fit: a number that is missing before it or that stands
+    twice, a previous hash that isn't the root over all rows before, or a record hash that isn't the
+    root with its own content; the first that holds. Rows after a break don't fit either.
 
-    Each row is joined to the one numbered before it, so the check runs in parallel.
+    The tree is built anew from the payloads, so rows that were resealed after an edit are found out
+    by the first row that wasn't; a log that was resealed to its end needs ``verify``'s root.
     """
-    before = log.select((F.col(seq) + 1).alias(seq), previous.alias("_before"))
-    joined = log.join(before, seq, "left")
-    first = F.col(seq) == 1
+    roots = merkle.prefix_roots(_leaves(log, payload, seq)).select((F.col("pos") + 1).alias(seq), F.col("prev_hash").alias("_prev"), F.col("record_hash").alias("_own"))
+    counts = log.groupBy(seq).agg(F.count("*").alias("_times"))
+    before = counts.select((F.col(seq) + 1).alias(seq), F.lit(True).alias("_before"))
+    joined = log.join(counts, seq).join(before, seq, "left").join(roots, seq)
     detail = (
-        F.when(~first & F.col("_before").isNull(), "sequence gap")
-        .when(F.col(prev) != F.when(first, F.lit(GENESIS)).otherwise(F.col("_before")), "prev_hash mismatch")
-        .when(recompute != F.col(stored), "record_hash mismatch")
+        F.when((F.col(seq) != 1) & F.col("_before").isNull(), "sequence gap")
+        .when(F.col("_times") > 1, "sequence repeated")
+        .when(F.col(prev) != F.col("_prev"), "prev_hash mismatch")
+        .when(F.col(stored) != F.col("_own"), "record_hash mismatch")
     )
     return joined.select(seq, detail.alias("detail")).filter("detail is not null")
 
 
-def verify(found: DataFrame, n_records: DataFrame, seq: str = "seq") -> DataFrame:
-    """One row: ok, n_records, broken_at, detail of the first break."""
+def verify(found: DataFrame, n_records: DataFrame, seq: str = "seq", root: tuple[str | None, str] | None = None) -> DataFrame:
+    """One row: ok, n_records, broken_at, detail of the first break. With ``root`` = (the log's root
+    now, the one that was noted elsewhere) a log that fits itself must have the noted root too."""
     first = found.agg(F.min(F.struct(seq, "detail")).alias("b"))
-    return n_records.crossJoin(first).select(F.col("b").isNull().alias("ok"), "n_records", F.col(f"b.{seq}").alias("broken_at"), F.col("b.detail").alias("detail"))
+    other = F.lit(bool(root and root[0] != root[1]))
+    detail = F.coalesce(F.col("b.detail"), F.when(other, "root mismatch"))
+    return n_records.crossJoin(first).select(detail.isNull().alias("ok"), "n_records", F.col(f"b.{seq}").alias("broken_at"), detail.alias("detail"))
+
+
+def inclusion(log: DataFrame, payload: Column, order: str = "seq") -> DataFrame:
+    """(order, leaf, path, root) of each row: what shows that the row is part of the log with that
+    root, without the other rows (see ``merkle.climbed``)."""
+    leaves = _leaves(log, payload, order)
+    paths = merkle.inclusion_paths(leaves)
+    joined = leaves.join(paths, "pos")
+    return joined.select((F.col("pos") + 1).alias(order), F.col("hash").alias("leaf"), "path", merkle.climbed(F.col("hash"), F.col("path")).alias("root"))
 
 
 def directory_diff(before: DataFrame, after: DataFrame, path: str = "rel_path") -> DataFrame:
-    """(path, change): created, deleted or modified by size and time; unchanged files aren't listed."""
-    a, b = before.select(path, F.struct("size_bytes", "mtime").alias("a")), after.select(path, F.struct("size_bytes", "mtime").alias("b"))
-    change = F.when(F.col("a").isNull(), "created").when(F.col("b").isNull(), "deleted").when(F.col("a") != F.col("b"), "modified")
-    return a.join(b, path, "full_outer").select(path, change.alias("change")).filter("change is not null")
+    """(path, change): created, deleted or modified by size and time; unchanged files aren't listed.
+    Only folders whose digests differ are looked into."""
+    return folders.changes(before, after, ["size_bytes", "mtime"], path)
 
 
 def touches(changed: Column, target: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quern.functions.keys import pseudonym, rounded
 from quern.operators import active, audit, evaluation, metrics, release
 from quern.plans import bindings as b
-from quern.plans.bindings import ASSIGNMENT, CHAIN, DECISIONS, FRAME, INV, OLD, SALT, SEED, STRATA, split_sql, table
+from quern.plans.bindings import ASSIGNMENT, CHAIN, DECISIONS, FRAME, INV, OLD, SALT, SEED, STRATA, TREE, split_sql, table
 from quern.plans.catalog import HMAC
 
 QUERIES = {}
@@ -366,20 +366,39 @@ def paired_statistics(spark, d):
 
 @query(f"WITH {CHAIN} SELECT seq, prev_hash, record_hash FROM chained")
 def audit_chain_build(spark, d):
-    """FN-04: a log with a hash chain."""
+    """FN-04: a log in which every record's hash rests on all before it."""
     return b.chained(spark, d).select("seq", "prev_hash", "record_hash")
 
 
-@query(f"""WITH {CHAIN}, tampered AS (SELECT seq, prev_hash, record_hash, CASE WHEN seq = 501 THEN sha256(concat_ws('|', seq::VARCHAR, user_id::VARCHAR, 'edited', props)) ELSE own END AS own FROM chained JOIN events ON event_id + 1 = seq WHERE seq <> 700),
- checked AS (SELECT seq, CASE WHEN seq <> 1 AND lag(seq) OVER w IS DISTINCT FROM seq - 1 THEN 'sequence gap' WHEN prev_hash <> CASE WHEN seq = 1 THEN repeat('0', 64) ELSE lag(own) OVER w END THEN 'prev_hash mismatch'
- WHEN sha256(prev_hash || chr(10) || own) <> record_hash THEN 'record_hash mismatch' END AS detail FROM tampered WINDOW w AS (ORDER BY seq))
+#: The log with row 501 edited and 501 and 502 sealed again, and row 700 removed.
+FORGED = """forged AS (SELECT l.pos, sha256('leaf' || chr(10) || concat_ws('|', (event_id + 1)::VARCHAR, user_id::VARCHAR, CASE WHEN event_id = 500 THEN 'edited' ELSE event_type END, props)) AS hash FROM leaves l JOIN events ON event_id = l.pos)"""
+
+
+@query(f"""WITH {CHAIN}, {FORGED},
+ again AS (WITH leaves AS (SELECT * FROM forged WHERE pos < 502), {TREE}, peaks AS (SELECT l.pos + 1 AS n, b.k AS level, (((l.pos + 1) >> b.k) - 1)::BIGINT AS idx FROM leaves l, (SELECT unnest(range(40)) AS k) b WHERE ((l.pos + 1) >> b.k) % 2 = 1)
+  SELECT n, list_reduce(list(hash ORDER BY level), lambda acc, x: sha256('node' || chr(10) || x || chr(10) || acc)) AS root FROM peaks JOIN nodes USING (level, idx) GROUP BY n),
+ stored AS (SELECT seq, CASE WHEN seq = 502 THEN (SELECT root FROM again WHERE n = 501) ELSE prev_hash END AS prev_hash, CASE WHEN seq IN (501, 502) THEN (SELECT root FROM again WHERE n = seq) ELSE record_hash END AS record_hash FROM chained WHERE seq <> 700),
+ checked AS (SELECT seq, CASE WHEN seq <> 1 AND lag(seq) OVER w IS DISTINCT FROM seq - 1 THEN 'sequence gap' WHEN seq = 503 THEN 'prev_hash mismatch'
+  WHEN seq < 501 AND lag(record_hash) OVER w <> prev_hash THEN 'prev_hash mismatch' WHEN seq <= 502 AND record_hash <> (SELECT root FROM again WHERE n = seq) THEN 'record_hash mismatch' END AS detail FROM stored WINDOW w AS (ORDER BY seq))
  SELECT count(detail) = 0 AS ok, count(*) AS n_records, min(CASE WHEN detail IS NOT NULL THEN seq END)::BIGINT AS broken_at, min_by(detail, seq) FILTER (detail IS NOT NULL) AS detail FROM checked""")
 def audit_chain_verify(spark, d):
-    """AUD-03, WIN-03: the first break of a log with one edit and one removal."""
-    log = b.chained(spark, d).withColumn("event_type", F.when(F.col("seq") == 501, "edited").otherwise(F.col("event_type"))).filter("seq <> 700")
-    own = F.sha2(b.payload(), 256)
-    found = audit.breaks(log, F.sha2(F.concat_ws("\n", "prev_hash", own), 256), own)
-    return audit.verify(found, log.agg(F.count("*").alias("n_records")))
+    """AUD-03, WIN-03: the first break of a log in which an edited row and the next were sealed anew,
+    and a later row removed. The two fit each other; the row after them doesn't."""
+    edited = b.chained(spark, d).withColumn("event_type", F.when(F.col("seq") == 501, "edited").otherwise(F.col("event_type")))
+    sealed = audit.linked(edited.drop("prev_hash", "record_hash"), b.payload(), "seq").select("seq", F.col("prev_hash").alias("p"), F.col("record_hash").alias("r")).filter("seq in (501, 502)")
+    both = edited.join(F.broadcast(sealed), "seq", "left")
+    log = both.select("seq", "user_id", "event_type", "props", F.coalesce("p", "prev_hash").alias("prev_hash"), F.coalesce("r", "record_hash").alias("record_hash")).filter("seq <> 700")
+    return audit.verify(audit.breaks(log, b.payload()), log.agg(F.count("*").alias("n_records")))
+
+
+@query(f"""WITH {CHAIN}, sides AS (SELECT pos, k, pos >> k AS place, ((pos >> k) // 2) * 2 + 1 - (pos >> k) % 2 AS idx FROM leaves, (SELECT unnest(range(40)) AS k) b),
+ steps AS (SELECT pos, k, CASE WHEN place % 2 = 1 THEN 'L' ELSE 'R' END || hash AS step FROM sides JOIN nodes n ON n.level = k AND n.idx = sides.idx)
+ SELECT pos + 1 AS seq, l.hash AS leaf, coalesce(list_aggregate(list(step ORDER BY k) FILTER (step IS NOT NULL), 'string_agg', ','), '') AS path, (SELECT hash FROM nodes WHERE width = 1) AS root
+ FROM leaves l LEFT JOIN steps USING (pos) GROUP BY pos, l.hash""")
+def audit_inclusion(spark, d):
+    """AUD-03: for every record the hashes that show it to be part of the log."""
+    events = table(spark, d, "events").select((F.col("event_id") + 1).alias("seq"), "user_id", "event_type", "props")
+    return audit.inclusion(events, b.payload()).withColumn("path", F.array_join("path", ","))
 
 
 @query(f"""WITH {INV}, {OLD} SELECT coalesce(i.rel_path, o.rel_path) AS rel_path, CASE WHEN o.rel_path IS NULL THEN 'created' WHEN i.rel_path IS NULL THEN 'deleted' ELSE 'modified' END AS change FROM inv i FULL JOIN old o ON i.rel_path = o.rel_path

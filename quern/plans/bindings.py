@@ -148,6 +148,13 @@ def payload():
     return F.concat_ws("|", F.col("seq").cast("string"), F.col("user_id").cast("string"), "event_type", "props")
 
 
-CHAIN = """owned AS (SELECT event_id + 1 AS seq, user_id, event_type, props, sha256(concat_ws('|', (event_id + 1)::VARCHAR, user_id::VARCHAR, event_type, props)) AS own FROM events),
-prev AS (SELECT *, coalesce(lag(own) OVER (ORDER BY seq), repeat('0', 64)) AS prev_hash FROM owned),
-chained AS (SELECT seq, prev_hash, sha256(prev_hash || chr(10) || own) AS record_hash, own FROM prev)"""
+#: A hash tree over leaves (pos, hash), and the root over each row's predecessors: level k's nodes, then for each
+#: row the whole subtrees that its number's binary digits name, folded from the smallest.
+TREE = """nodes AS (WITH RECURSIVE up AS (SELECT 0 AS level, pos AS idx, hash, (SELECT count(*) FROM leaves) AS width FROM leaves
+  UNION ALL SELECT level + 1, idx // 2, CASE WHEN count(*) = 2 THEN sha256('node' || chr(10) || min_by(hash, idx) || chr(10) || max_by(hash, idx)) ELSE min(hash) END, (any_value(width) + 1) // 2 FROM up WHERE width > 1 GROUP BY level, idx // 2)
+  SELECT * FROM up)"""
+CHAIN = """leaves AS (SELECT event_id AS pos, sha256('leaf' || chr(10) || concat_ws('|', (event_id + 1)::VARCHAR, user_id::VARCHAR, event_type, props)) AS hash FROM events),
+""" + TREE + """,
+peaks AS (SELECT l.pos + s.k AS n, b.k AS level, (((l.pos + s.k) >> b.k) - 1)::BIGINT AS idx FROM leaves l, (SELECT unnest([1]) AS k) s, (SELECT unnest(range(40)) AS k) b WHERE ((l.pos + s.k) >> b.k) % 2 = 1),
+roots AS (SELECT n, list_reduce(list(hash ORDER BY level), lambda acc, x: sha256('node' || chr(10) || x || chr(10) || acc)) AS root FROM peaks JOIN nodes USING (level, idx) GROUP BY n),
+chained AS (SELECT n AS seq, coalesce(lag(root) OVER (ORDER BY n), repeat('0', 64)) AS prev_hash, root AS record_hash FROM roots)"""

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Iterator
 
-AUDIT_SCHEMA = """seq bigint, run_id string, command string, argv array<string>, actor string, ts_start string, ts_end string,
-duration_s double, code_version string, git_commit string, config_sha256 string, inputs array<map<string,string>>,
-outputs array<map<string,string>>, exit_code int, status string, error string, prev_hash string, record_hash string"""
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+_CHANGED = "struct<count: bigint, names: array<string>>"
+_PLACE = "path: string, kind: string, n_files: bigint, bytes: bigint, sha256: string"
+AUDIT_SCHEMA = f"""seq bigint, run_id string, command string, argv array<string>, actor string, ts_start string, ts_end string,
+duration_s double, code_version string, git_commit string, config_sha256 string, inputs array<struct<{_PLACE}>>,
+outputs array<struct<{_PLACE}, created: {_CHANGED}, deleted: {_CHANGED}, modified: {_CHANGED}>>, exit_code int, status string, error string, prev_hash string, record_hash string"""
 
 
 def files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -35,9 +40,50 @@ def profiles(spark: SparkSession, path: str) -> DataFrame:
     return raw.toDF(*[" ".join(c.split()) for c in raw.columns])
 
 
+def line_marks(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(``file``, ``block``, ``lines``, ``blank``, ``bad``) of each split of JSON lines: how many lines begin
+    in it, how many are blank, and which (from 0) aren't records of ``schema``."""
+    raw = spark.read.option("pathGlobFilter", "*.json*").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    parsed = F.from_json("value", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    blank = F.trim("value") == ""
+    marked = raw.select("file", "block", blank.alias("blank"), (~blank & parsed["_bad"].isNotNull()).alias("bad"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, lines, blanks, wrong = None, 0, 0, []
+
+        def put() -> pa.RecordBatch:
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((*now, lines, blanks, wrong), types)], names=["file", "block", "lines", "blank", "bad"])
+
+        for batch in batches:
+            for file, block, empty, bad in zip(*(c.to_pylist() for c in batch.columns)):
+                if now is not None and now != (file, block):
+                    yield put()
+                    lines, blanks, wrong = 0, 0, []
+                now = (file, block)
+                wrong += [lines] if bad else []
+                lines, blanks = lines + 1, blanks + empty
+        if now is not None:
+            yield put()
+
+    return marked.mapInArrow(run, "file string, block long, lines long, blank long, bad array<long>")
+
+
+def bad_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(``file``, ``line``) of every line that isn't a record, numbered from 1 with blank lines counted.
+    Splits count their own lines, and the sums before them (one row for each split) are added."""
+    marks = line_marks(spark, path, schema)
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return marks.withColumn("before", before).select("file", "before", F.explode("bad").alias("at")).select("file", (F.col("before") + F.col("at") + 1).alias("line"))
+
+
 def audit_log(spark: SparkSession, path: str) -> DataFrame:
-    """An append-only log of JSON lines; a line that isn't one fails the read."""
-    return spark.read.schema(AUDIT_SCHEMA).option("mode", "FAILFAST").json(path)
+    """An append-only log of JSON lines, blank lines left out. A line that isn't a record fails the
+    read with the first such file and line."""
+    first = bad_lines(spark, path, AUDIT_SCHEMA).agg(F.min(F.struct("file", "line")).alias("f")).first()["f"]
+    if first:
+        raise ValueError(f"{first['file']}: line {first['line']} is not a record")
+    return spark.read.schema(AUDIT_SCHEMA).option("mode", "FAILFAST").option("pathGlobFilter", "*.json*").json(path)
 
 
 def releases(spark: SparkSession, root: str) -> DataFrame:
