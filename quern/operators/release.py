@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quern.functions.keys import ratio, shuffle_key
+from quern.operators import identifiers
 
 SPLITS = ("train", "validation", "test")
 
@@ -82,15 +83,9 @@ def verify(recorded: DataFrame, current: DataFrame, key: str = "path", digest: s
 
 
 def leaked_ids(rows: DataFrame, columns: list[str], ids: DataFrame, identifier: str) -> DataFrame:
-    """(column, identifier, n_rows): real identifiers that stand as a word in a column.
-
-    Words are cut out of the cells and joined to the identifiers, so there is no search of every
-    identifier in every cell.
-    """
-    cells = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("c"))
-    words = cells.select("c.column", F.explode(F.array_distinct(F.split(F.coalesce("c.value", F.lit("")), r"[^A-Za-z0-9_]+"))).alias("word"))
-    real = ids.select(F.col(identifier).cast("string").alias("word")).distinct()
-    return words.join(real, "word").groupBy("column", F.col("word").alias("identifier")).agg(F.count("*").alias("n_rows"))
+    """(column, identifier, n_rows): real identifiers that stand in a column between word boundaries,
+    whatever punctuation they hold."""
+    return identifiers.find(rows, columns, ids, identifier)
 
 
 def restrict_train(rows: DataFrame, chosen: DataFrame, group: str) -> DataFrame:

@@ -121,6 +121,20 @@ def release_leaks(spark, d):
     return release.leaked_ids(b.inventory(spark, d), ["rel_path"], ids, "source")
 
 
+#: Words joined by punctuation: addresses, numbers, hosts.
+JOINED = "[A-Za-z0-9]+(?:[-.@/][A-Za-z0-9]+)+"
+
+
+@query(f"""WITH ids AS (SELECT DISTINCT unnest(regexp_extract_all(text, '{JOINED}')) AS identifier FROM documents),
+ near AS MATERIALIZED (SELECT identifier, text FROM ids JOIN documents ON contains(text, identifier))
+ SELECT 'text' AS "column", identifier, count(*) AS n_rows FROM near WHERE regexp_matches(text, '(^|[^\\p{{L}}\\p{{N}}_])' || regexp_escape(identifier) || '($|[^\\p{{L}}\\p{{N}}_])') GROUP BY identifier""")
+def identifier_hits(spark, d):
+    """FN-15: identifiers with hyphens, dots and at signs, out of all texts, in all texts."""
+    docs = table(spark, d, "documents").select("text")
+    ids = docs.select(F.explode(F.regexp_extract_all("text", F.lit(f"({JOINED})"), 1)).alias("identifier"))
+    return release.leaked_ids(docs, ["text"], ids, "identifier")
+
+
 RANKED = f"{FRAME}, ranked AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2e0 AS rk FROM frame)"
 AUROC = "(sum(CASE WHEN label = 1 THEN rk ELSE 0 END) - count_if(label = 1) * (count_if(label = 1) + 1) / 2e0) / (count_if(label = 1) * count_if(label = 0))"
 
