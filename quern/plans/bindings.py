@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import struct
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SALT = "test-salt"
 SEED = 20260915
@@ -148,6 +153,68 @@ def payload():
     return F.concat_ws("|", F.col("seq").cast("string"), F.col("user_id").cast("string"), "event_type", "props")
 
 
+def pixels() -> Column:
+    """embeddings as gray pixels from 0 to 255, eight rows of eight."""
+    return F.transform("embedding", lambda x: F.least(F.greatest(F.floor((x + 1) * 127.5), F.lit(0)), F.lit(255)))
+
+
+PIXELS = "pixels AS (SELECT vec_id, label, list_transform(embedding, lambda x: least(greatest(floor((x + 1) * 127.5e0), 0), 255)::DOUBLE) AS p FROM embeddings)"
+
+
+def pixel_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """embeddings (vec_id, label, p) with the split of their label."""
+    from quern.operators import release
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", pixels().alias("p"))
+    groups = rows.select("label", F.lit(0).alias("one")).distinct()
+    return rows.join(F.broadcast(release.stratified_split(groups, "label", "one", SEED).select("label", "split")), "label")
+
+
+def _png(gray: list[int], extra: list[tuple[bytes, bytes]]) -> bytes:
+    chunk = lambda name, body: struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body))
+    rows = b"".join(b"\0" + bytes(gray[k : k + 8]) for k in range(0, len(gray), 8))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 8, len(gray) // 8, 8, 0, 0, 0, 0)) + b"".join(chunk(*e) for e in extra) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+
+def _jpeg(gray: list[int], extra: list[tuple[int, bytes]]) -> bytes:
+    """The segments of a JPEG around bytes that stand for its pixels."""
+    segment = lambda kind, body: struct.pack(">BBH", 0xFF, kind, len(body) + 2) + body
+    return b"\xff\xd8" + segment(0xE0, b"JFIF\0\1\1\0\0\1\0\1\0\0") + b"".join(segment(*e) for e in extra) + segment(0xDA, b"\1\1\0\0\x3f\0") + bytes(gray) + b"\xff\xd9"
+
+
+def exif(tag: int, place: bool = False) -> bytes:
+    """A TIFF with one tag, and one of a place in a directory of its own."""
+    entries = [(tag, 3, 1, 7)] + ([(34853, 4, 1, 8 + 2 + 24 + 4)] if place else [])
+    head = b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", len(entries)) + b"".join(struct.pack("<HHII", *e) for e in entries) + struct.pack("<I", 0)
+    return head + (struct.pack("<H", 1) + struct.pack("<HHII", 2, 2, 4, 0) + struct.pack("<I", 0) if place else b"")
+
+
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """embeddings as image files (path, content): PNG and JPEG, every second one with marks, some cut short."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, files = [], []
+            for i, gray in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                place = i % 3 == 0
+                if i % 4 < 2:
+                    data = _png(gray, [(b"tEXt", b"Author\0Dr. Who")] + ([(b"eXIf", exif(271, True))] if place else []) if i % 4 else [])
+                else:
+                    data = _jpeg(gray, [(0xFE, b"taken at home"), (0xE1, b"Exif\0\0" + exif(306, place))] if i % 4 == 3 else [])
+                names.append(f"img/{i}.{'png' if i % 4 < 2 else 'jpg'}")
+                files.append(data[:20] if i % 50 == 7 else data)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(files, pa.binary())], names=["path", "content"])
+
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(pixels(), lambda p: p.cast("int")).alias("gray")).mapInArrow(run, "path string, content binary")
+
+
+IMAGE_MARKS = """marks AS (SELECT 'img/' || vec_id || CASE WHEN vec_id % 4 < 2 THEN '.png' ELSE '.jpg' END AS path, unnest(
+ CASE WHEN vec_id % 50 = 7 THEN [{'issue': 'unreadable', 'key': CASE WHEN vec_id % 4 < 2 THEN 'a chunk breaks off' ELSE 'the file breaks off' END}]
+  WHEN vec_id % 4 = 1 THEN [{'issue': 'metadata-present', 'key': 'Author'}] || CASE WHEN vec_id % 3 = 0 THEN [{'issue': 'exif-present', 'key': 'tag:271'}, {'issue': 'exif-present', 'key': 'gps:2'}] ELSE [] END
+  WHEN vec_id % 4 = 3 THEN [{'issue': 'metadata-present', 'key': 'comment'}, {'issue': 'exif-present', 'key': 'tag:306'}] || CASE WHEN vec_id % 3 = 0 THEN [{'issue': 'exif-present', 'key': 'gps:2'}] ELSE [] END
+  ELSE [] END) AS m FROM embeddings)"""
+
+
 #: A hash tree over leaves (pos, hash), and the root over each row's predecessors: level k's nodes, then for each
 #: row the whole subtrees that its number's binary digits name, folded from the smallest.
 TREE = """nodes AS (WITH RECURSIVE up AS (SELECT 0 AS level, pos AS idx, hash, (SELECT count(*) FROM leaves) AS width FROM leaves

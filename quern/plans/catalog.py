@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quern.functions.keys import _pads, replace_segment
 from quern.functions.patterns import NAME_TOKENS, TEXT_PATTERNS
-from quern.operators import curation, labels, manifest, privacy, quality_gates as qc, similarity
+from quern.operators import curation, image_metadata as image_metadata_op, labels, manifest, pixels, privacy, quality_gates as qc, similarity
 from quern.plans import bindings as b
-from quern.plans.bindings import DECISIONS, INV, LONG, OLD, SALT, TAXONOMY_SQL, table
+from quern.plans.bindings import DECISIONS, INV, LONG, OLD, SALT, TAXONOMY_SQL, split_sql, table
 
 QUERIES = {}
 ORACLES = {}
+ROUND6 = "floor(({}) * 1e6 + 0.5) / 1e6"
+#: From eight places to four: (place, place before, weight).
+SMALL_WEIGHTS = ", ".join(f"({y}, {i}, {w!r}::DOUBLE)" for y, row in enumerate(pixels.weights(8, 4)) for i, w in enumerate(row))
 
 
 def query(sql: str | None = None):
@@ -160,15 +163,44 @@ def export(spark, d):
     return table(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.lpad(key, 8, "0").alias("padded"), F.concat(key, F.lit(".0")).alias("decimals"), F.col("o_orderkey").cast("string").alias("other"), F.when(F.col("o_orderkey") % 4 == 0, key).otherwise("x").alias("mixed"))
 
 
+@query(f"WITH {b.IMAGE_MARKS} SELECT path, m.issue AS issue, m.key AS key FROM marks")
+def image_metadata(spark, d):
+    """PRV-04: tags, comments and texts that image files hold beside their pixels."""
+    return image_metadata_op.scan(b.image_files(spark, d))
+
+
+@query(f"WITH {b.PIXELS}, groups AS (SELECT DISTINCT label, 0 AS one FROM embeddings), {split_sql('groups', 'label', 'one')}, flat AS (SELECT unnest(p) AS x FROM pixels JOIN assignment USING (label) WHERE split = 'train') SELECT count(x) AS n, {ROUND6.format('avg(x)')} AS mean, {ROUND6.format('stddev_pop(x)')} AS std FROM flat")
+def pixel_moments(spark, d):
+    """AGG-18: mean and deviation of all pixels of the train split."""
+    found = pixels.moments(b.pixel_split(spark, d).filter("split = 'train'"), "p")
+    return found.select("n", *[(F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c) for c in ("mean", "std")])
+
+
+@query(f"""WITH {b.PIXELS}, groups AS (SELECT DISTINCT label, 0 AS one FROM embeddings), {split_sql('groups', 'label', 'one')},
+ stats AS (SELECT avg(x) AS mean, stddev_pop(x) AS std FROM (SELECT unnest(p) AS x FROM pixels JOIN assignment USING (label) WHERE split = 'train')),
+ cells AS (SELECT vec_id, label, y, x, sum(p[(i * 8 + j + 1)::BIGINT] * r.w * q.w) AS v FROM pixels, (VALUES {SMALL_WEIGHTS}) AS r(y, i, w), (VALUES {SMALL_WEIGHTS}) AS q(x, j, w) GROUP BY ALL)
+ SELECT vec_id, split, {ROUND6.format('min((v - mean) / (std + 1e-8))')} AS low, {ROUND6.format('max((v - mean) / (std + 1e-8))')} AS high, {ROUND6.format('sum((v - mean) / (std + 1e-8) * (y * 4 + x + 1))')} AS weighed FROM cells, stats JOIN assignment ON assignment.label = cells.label GROUP BY vec_id, split""")
+def pixel_standardized(spark, d):
+    """FN-27: every image at half its size, in standard scores of the train split's pixels."""
+    rows = b.pixel_split(spark, d)
+    stats = pixels.moments(rows.filter("split = 'train'"), "p").select("mean", "std")
+    small = rows.select("vec_id", "split", pixels.resampled(F.col("p"), 8, 8, 4, 4).alias("s")).crossJoin(F.broadcast(stats))
+    z = small.select("vec_id", "split", pixels.standard_scores(F.col("s"), F.col("mean"), F.col("std")).alias("z"))
+    weighed = F.aggregate(F.transform("z", lambda v, k: v * (k + 1)), F.lit(0.0), lambda s, v: s + v)
+    at6 = lambda c: F.floor(c * 1e6 + 0.5) / 1e6
+    return z.select("vec_id", "split", at6(F.array_min("z")).alias("low"), at6(F.array_max("z")).alias("high"), at6(weighed).alias("weighed"))
+
+
 @query(f"""WITH {PHI}, {NAMES_SQL}, {TOKENS_SQL} SELECT "check", n_findings, CASE WHEN n_findings = 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM (
  SELECT 'identifier-columns' AS "check", count(*) AS n_findings FROM names, tokens WHERE contains(regexp_replace(lower("column"), '[^a-z]', '_', 'g'), token)
  UNION ALL SELECT 'free-text-identifiers', count(*) FROM phi
  UNION ALL SELECT 'age-over-89', count(*) FROM customer WHERE c_acctbal / 100e0 > 89
+ UNION ALL SELECT 'image-metadata', count(*) FROM ({ORACLES['image_metadata']})
  UNION ALL SELECT 'no-real-ids-in-exports', count(*) FROM ({ORACLES['id_leak_fraction']}) WHERE leaks)""")
 def privacy_gate(spark, d):
     """PRV-10: the checks and whether they pass."""
     leaking = id_leak_fraction(spark, d).filter("leaks")
-    return privacy.gate({"identifier-columns": phi_columns(spark, d), "free-text-identifiers": phi_scan(spark, d), "age-over-89": safe_harbor_rule(spark, d), "no-real-ids-in-exports": leaking})
+    return privacy.gate({"identifier-columns": phi_columns(spark, d), "free-text-identifiers": phi_scan(spark, d), "age-over-89": safe_harbor_rule(spark, d), "image-metadata": image_metadata(spark, d), "no-real-ids-in-exports": leaking})
 
 
 @query(f"WITH {LONG} SELECT annotation_id, doc_id, label_code, value, 'consensus' AS annotator, 'labels.parquet' AS source_file FROM long")

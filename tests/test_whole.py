@@ -41,4 +41,6 @@ def test_privacy_gate_makes_every_check(spark, duck):  # noqa: F811
     got = QUERIES["privacy_gate"](spark, SF).toPandas().set_index("check")
     leaks = duck.execute(f"SELECT count(*) FROM ({ORACLES['id_leak_fraction']}) WHERE leaks").fetchone()[0]
     assert leaks > 0 and got.loc["no-real-ids-in-exports"].tolist() == [leaks, "FAIL"]
-    assert "image-metadata" not in got.index  # no code looks into images
+    marks = duck.execute(f"SELECT count(*) FROM ({ORACLES['image_metadata']})").fetchone()[0]
+    assert marks > 0 and got.loc["image-metadata"].tolist() == [marks, "FAIL"]
+    assert len(got) == 5
