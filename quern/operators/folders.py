@@ -3,17 +3,16 @@
 A folder's digest is the sum, modulo 2^256, of the SHA-256 of its files' entries (path below the root
 and state). Sums need no order and no list of paths: tasks add what they see, and Spark adds the sums.
 Each file counts for every folder above it, so the sum of a folder stands for all that it holds.
-Repeated entries count as often as they stand. An empty tree has the digest of nothing. Sums hold up to
-two thousand million files of one folder; beyond, Spark raises an overflow.
+An empty tree has the digest of nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quern.functions.digests import LANES, lanes, summed, total
 from quern.functions.storage import materialize
 
-LANES = 8
 #: The folder that holds all.
 TOP = ""
 
@@ -23,35 +22,15 @@ def entry(path: Column, *state: Column) -> Column:
     return F.sha2(F.concat_ws("\n", path, *[F.coalesce(s.cast("string"), F.lit("")) for s in state]), 256)
 
 
-def _lanes(digest: Column) -> list[Column]:
-    """The digest's eight numbers of 32 bits, the largest first."""
-    return [F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("long") for k in range(LANES)]
-
-
-def _summed() -> list[Column]:
-    return [F.sum(f"lane{k}").alias(f"lane{k}") for k in range(LANES)]
-
-
-def _digest() -> Column:
-    """The sums of lanes with carries moved up, as 64 hexadecimal digits."""
-    parts, carry = [], F.lit(0).cast("long")
-    for k in reversed(range(LANES)):
-        total = F.coalesce(F.col(f"lane{k}"), F.lit(0).cast("long")) + carry
-        parts.append(F.lpad(F.lower(F.hex(total.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))), 8, "0"))
-        carry = F.shiftright(total, 32)
-    return F.concat(*reversed(parts))
-
-
 def _entries(files: DataFrame, state: list[str], path: str) -> DataFrame:
-    lanes = _lanes(F.col("_entry"))
     slim = files.select(F.col(path).alias("path"), F.coalesce(F.col("size_bytes"), F.lit(0)).alias("size"), entry(F.col(path), *[F.col(s) for s in state]).alias("_entry"))
-    return slim.select("path", "size", "_entry", *[lane.alias(f"lane{k}") for k, lane in enumerate(lanes)])
+    return slim.select("path", "size", *lanes(F.col("_entry")))
 
 
 def fingerprint(files: DataFrame, state: list[str], path: str = "rel_path") -> DataFrame:
     """One row: ``n_files``, ``bytes`` and ``digest`` of all files."""
-    totals = _entries(files, state, path).agg(F.count("*").alias("n_files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), *_summed())
-    return totals.select("n_files", "bytes", _digest().alias("digest"))
+    totals = _entries(files, state, path).agg(F.count("*").alias("n_files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), *summed())
+    return totals.select("n_files", "bytes", total().alias("digest"))
 
 
 def folders(files: DataFrame, state: list[str], path: str = "rel_path") -> DataFrame:
@@ -63,10 +42,10 @@ def folders(files: DataFrame, state: list[str], path: str = "rel_path") -> DataF
     spread = _entries(files, state, path).select("path", "size", *[f"lane{k}" for k in range(LANES)], depth.alias("deepest"), F.posexplode(above).alias("depth", "folder"))
     direct = F.col("deepest") == F.col("depth")
     own = [F.sum(F.when(direct, F.col(f"lane{k}")).otherwise(0)).alias(f"own{k}") for k in range(LANES)]
-    totals = spread.groupBy("folder", "depth").agg(F.count("*").alias("n_files"), F.sum("size").alias("bytes"), *_summed(), *own)
-    both = totals.withColumn("digest", _digest()).drop(*[f"lane{k}" for k in range(LANES)]).withColumnsRenamed({f"own{k}": f"lane{k}" for k in range(LANES)})
+    totals = spread.groupBy("folder", "depth").agg(F.count("*").alias("n_files"), F.sum("size").alias("bytes"), *summed(), *own)
+    both = totals.withColumn("digest", total()).drop(*[f"lane{k}" for k in range(LANES)]).withColumnsRenamed({f"own{k}": f"lane{k}" for k in range(LANES)})
     parent = F.when(F.col("depth") == 0, F.lit(None)).when(F.col("depth") == 1, TOP).otherwise(F.regexp_extract("folder", "^(.*)/[^/]*$", 1))
-    return both.select("folder", parent.alias("parent"), "depth", "n_files", "bytes", "digest", _digest().alias("own"))
+    return both.select("folder", parent.alias("parent"), "depth", "n_files", "bytes", "digest", total().alias("own"))
 
 
 def changed_folders(before: DataFrame, after: DataFrame) -> DataFrame:

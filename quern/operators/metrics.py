@@ -6,6 +6,10 @@ the distinct scores, so no task sorts the whole table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quern.functions.keys import draw, ratio
@@ -34,6 +38,16 @@ def auroc(rows: DataFrame, label: str = "label", score: str = "score") -> DataFr
     return summed.select("n_pos", "n_neg", auroc_of(F.col("w"), F.col("n_pos"), F.col("n_neg")).alias("auroc"))
 
 
+def auroc_by(rows: DataFrame, by: str, label: str = "label", score: str = "score") -> DataFrame:
+    """(``by``, n_pos, n_neg, auroc) for each value of ``by``. Running totals go through all values in one
+    order, and what stood before a value's first score is taken off."""
+    cells = rows.groupBy(by, F.col(score).cast("double").alias("score")).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    totals = running_totals(cells, [by, "score"], ["neg"])
+    w = F.sum(wins(F.col("pos"), F.col("neg"), F.col("neg_before"))) - 2 * F.sum("pos") * F.min("neg_before")
+    summed = totals.groupBy(by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), w.alias("w"))
+    return summed.select(by, "n_pos", "n_neg", auroc_of(F.col("w"), F.col("n_pos"), F.col("n_neg")).alias("auroc"))
+
+
 def confusion(rows: DataFrame, threshold: float | Column, by: list[str] | None = None, label: str = "label", score: str = "score") -> DataFrame:
     """tp, fp, tn, fn at ``score >= threshold``, for the table or for each of ``by``."""
     at = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
@@ -86,21 +100,52 @@ def best_threshold(rows: DataFrame, label: str = "label", score: str = "score")
 def bootstrap_auroc(rows: DataFrame, group: str, resamples: int, seed: int, label: str = "label", score: str = "score") -> DataFrame:
     """(resample, auroc) by drawing whole groups with replacement; draws with one class are left out.
 
-    A draw is a hash of the seed, the resample and the place, and a group's weight is how often it
-    was drawn. Groups are summed by score before they meet the resamples.
+    A draw is a hash of the seed, the resample and the place, and a group's weight is how often it was
+    drawn. A group's weights in all resamples are one vector, so a cell (group, score) is one row. Cells
+    are dealt to ranges of scores; a range adds vectors as it goes through its scores, and gives what its
+    positives win over its own negatives, and its totals. The negatives of earlier ranges are then added.
     """
     spark = rows.sparkSession
     groups = rows.select(group).distinct()
     ranked = numbered(groups, [group], "rank").withColumn("rank", F.col("rank") - 1)
     n = ranked.count()
     draws = spark.range(resamples * n).select(F.floor(F.col("id") / n).alias("resample"), (F.col("id") % n).alias("place"))
-    picked = draws.withColumn("rank", draw(n, seed, F.col("resample"), F.col("place"))).groupBy("resample", "rank").agg(F.count("*").alias("weight"))
-    weights = picked.join(ranked, "rank").select("resample", group, "weight")
+    picked = draws.withColumn("rank", draw(n, seed, F.col("resample"), F.col("place"))).groupBy("rank", "resample").agg(F.count("*").cast("int").alias("weight"))
+    vectors = picked.groupBy("rank").agg(F.collect_list(F.struct("resample", "weight")).alias("drawn")).join(ranked, "rank")
     sums = rows.groupBy(group, F.col(score).cast("double").alias("score")).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    weighed = sums.join(weights, group).groupBy("resample", "score").agg(F.sum(F.col("pos") * F.col("weight")).alias("pos"), F.sum(F.col("neg") * F.col("weight")).alias("neg"))
-    before = Window.partitionBy("resample").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    ranked_rows = weighed.withColumn("neg_before", F.coalesce(F.sum("neg").over(before), F.lit(0)))
-    per = ranked_rows.groupBy("resample").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum(wins(F.col("pos"), F.col("neg"), F.col("neg_before"))).alias("w"))
+    cells = sums.join(vectors.select(group, "drawn"), group).select("score", "pos", "neg", F.transform("drawn", lambda d: d["resample"]).alias("at"), F.transform("drawn", lambda d: d["weight"]).alias("times"))
+    in_order = cells.repartitionByRange("score").sortWithinPartitions("score")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pos, neg, here_pos, here_neg, won = (np.zeros(resamples, dtype=np.int64) for _ in range(5))
+        now, first = None, None
+
+        def close() -> None:
+            """Put the present score's vectors to the range's."""
+            won[:] += here_pos * (2 * neg + here_neg)
+            pos[:] += here_pos
+            neg[:] += here_neg
+            here_pos[:], here_neg[:] = 0, 0
+
+        for batch in batches:
+            at, times = batch.column(3), batch.column(4)
+            ends, flat, weight = at.offsets.to_numpy(), at.values.to_numpy(), times.values.to_numpy()
+            for k, (s, p, m) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
+                if s != now:
+                    close()
+                    now, first = s, s if first is None else first
+                places, w = flat[ends[k] : ends[k + 1]], weight[ends[k] : ends[k + 1]]
+                here_pos[places] += p * w
+                here_neg[places] += m * w
+        if first is not None:
+            close()
+            yield pa.RecordBatch.from_arrays([pa.array([first]), *(pa.array([v.tolist()], pa.list_(pa.int64())) for v in (pos, neg, won))], names=["first", "pos", "neg", "won"])
+
+    ranges = in_order.mapInArrow(add, "first double, pos array<long>, neg array<long>, won array<long>")
+    each = ranges.select("first", F.posexplode(F.arrays_zip("pos", "neg", "won")).alias("resample", "v")).select("first", "resample", "v.*")
+    before = Window.partitionBy("resample").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    whole = each.withColumn("w", F.col("won") + 2 * F.col("pos") * F.coalesce(F.sum("neg").over(before), F.lit(0)))
+    per = whole.groupBy(F.col("resample").cast("long").alias("resample")).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("w").alias("w"))
     return per.filter("n_pos > 0 and n_neg > 0").select("resample", auroc_of(F.col("w"), F.col("n_pos"), F.col("n_neg")).alias("auroc"))
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quern.functions.keys import pseudonym, rounded
-from quern.operators import active, audit, evaluation, metrics, release
+from quern.functions.storage import delete_at_end, shared_dir
+from quern.operators import active, audit, evaluation, experiments, metrics, release
 from quern.plans import bindings as b
 from quern.plans.bindings import ASSIGNMENT, CHAIN, DECISIONS, FRAME, INV, OLD, SALT, SEED, STRATA, TREE, split_sql, table
 from quern.plans.catalog import HMAC
+from quern.sources import derived, keyed
 
 QUERIES = {}
 ORACLES = {}
@@ -344,6 +348,37 @@ def select_random(spark, d):
     return active.select_random(_pool(spark, d).filter("pool = 'unlabelled'"), "user_id", 12, SEED)
 
 
+DERIVED = """rows AS (SELECT 'v1' AS version, split, o_custkey, o_orderkey FROM orders JOIN assignment USING (o_custkey)
+  UNION ALL SELECT 'v1.1', split, o_custkey, o_orderkey FROM orders JOIN assignment USING (o_custkey) WHERE split <> 'train' OR o_custkey % 3 = 0),
+ dealt AS (SELECT version, split, o_orderkey, ('0x' || sha256(o_orderkey::VARCHAR)[1:8])::BIGINT % 16 AS bucket FROM rows),
+ parts AS (SELECT version, split, bucket::INTEGER AS bucket, count(*) AS n_rows, list_sort(list(o_orderkey)) AS held FROM dealt GROUP BY ALL)"""
+
+
+@query(f"WITH {CUSTOMERS}, {split_sql('groups', 'o_custkey', 'urgent')}, {DERIVED} SELECT a.version, CASE WHEN a.version = 'v1.1' THEN 'v1' END AS derived_from, a.split, a.bucket, a.n_rows, count(b.version) > 1 AS shared FROM parts a JOIN parts b ON a.split = b.split AND a.bucket = b.bucket AND a.held = b.held GROUP BY ALL")
+def derived_release(spark, d):
+    """REL-07: a release of orders, one derived from it with fewer train groups, and which parts they share."""
+    root = f"{shared_dir(spark)}/quern/releases-{uuid.uuid4().hex}"
+    delete_at_end(spark, root)
+    rows = table(spark, d, "orders").select("o_custkey", F.col("o_orderkey").cast("string").alias("path"), "o_totalprice").join(stratified_split(spark, d).select("o_custkey", "split"), "o_custkey")
+    derived.publish(rows, root, "v1")
+    derived.derive(spark, root, "v1", "v1.1", _customers(spark, d).filter("o_custkey % 3 = 0"), "o_custkey")
+    parts = derived.versions(spark, root)
+    holders = parts.groupBy("digest").agg((F.count_distinct("version") > 1).alias("shared"))
+    return parts.join(holders, "digest").select("version", "derived_from", "split", "bucket", "n_rows", "shared")
+
+
+@query(f"""WITH {INV}, {OLD} SELECT coalesce(i.rel_path, o.rel_path) AS rel_path, coalesce(i.sha256, o.sha256) AS sha256, coalesce(i.size_bytes, o.size_bytes) AS size_bytes,
+ CASE WHEN o.rel_path IS NULL THEN 't2' ELSE 't1' END AS first_seen, CASE WHEN i.rel_path IS NULL THEN 't1' ELSE 't2' END AS last_seen FROM inv i FULL JOIN old o ON i.rel_path = o.rel_path""")
+def inventory_commits(spark, d):
+    """SNK-01: two scans put into a table one after the other; each path with when it was first and last seen."""
+    root = f"{shared_dir(spark)}/quern/inventory-{uuid.uuid4().hex}"
+    delete_at_end(spark, root)
+    inv = b.inventory(spark, d)
+    keyed.upsert(b.altered(inv).select("rel_path", "sha256", "size_bytes"), root, "rel_path", stamp="t1")
+    keyed.upsert(inv.select("rel_path", "sha256", "size_bytes"), root, "rel_path", stamp="t2")
+    return keyed.read(spark, root, "rel_path string, sha256 string, size_bytes bigint")
+
+
 @query(f"""WITH {CUSTOMERS}, {split_sql('groups', 'o_custkey', 'urgent')} SELECT a.split, count(*) AS n FROM orders o JOIN assignment a USING (o_custkey) WHERE a.split <> 'train' OR o.o_custkey % 3 = 0 GROUP BY a.split""")
 def restrict_train(spark, d):
     """ACT-04, FLT-05: fewer train groups, the other splits whole."""
@@ -360,6 +395,36 @@ def _arms(spark, d):
     return table(spark, d, "events").groupBy((F.col("user_id") % 12).alias("seed"), F.col("event_type").alias("arm")).agg(F.avg(cents).alias("metric"))
 
 
+def _experiment(spark, d):
+    """embeddings as items of groups (40 by their number), split by group; label: an odd label."""
+    rows = table(spark, d, "embeddings").select((F.col("vec_id") % 40).alias("group"), F.col("vec_id").alias("key"), F.col("embedding").alias("vector"), (F.col("label") % 2).alias("label"))
+    groups = rows.groupBy("group").agg(F.max("label").alias("flag"))
+    splits = release.stratified_split(groups, "group", "flag", SEED, 0.6, 0.1)
+    return experiments.run(rows.join(splits.select("group", "split"), "group"), budget=4)
+
+
+@query()
+def experiment_arms(spark, d):
+    """ACT-06, SNK-09: size and test AUROC of every seed, arm and round."""
+    return at6(_experiment(spark, d)[0], "auroc")
+
+
+@query()
+def experiment_choices(spark, d):
+    """ACT-06: the groups that each arm had labelled."""
+    return _experiment(spark, d)[1]
+
+
+@query()
+def experiment_report(spark, d):
+    """ACT-07: the arms of the last round over seeds, and what choosing by doubt gains over drawing."""
+    results = _experiment(spark, d)[0]
+    last = results.filter(F.col("round") == results.agg(F.max("round").alias("r")).first()["r"])
+    paired = active.paired_statistics(active.paired_deltas(last, "seed", "arm", "auroc", "uncertainty", "random"))
+    arms = active.arm_summary(last, "arm", "auroc").select(F.col("arm").alias("what"), F.col("n_seeds").alias("n"), "mean", F.col("min").alias("low"), F.col("max").alias("high"))
+    return at6(arms.union(paired.select(F.lit("gain"), "n_pairs", "mean_delta", "ci_low", "ci_high")), "mean", "low", "high")
+
+
 @query(f"WITH {ARMS} SELECT arm, count(*) AS n_seeds, {r6('avg(metric)')} AS mean, {r6('stddev_samp(metric)')} AS std, {r6('min(metric)')} AS min, {r6('max(metric)')} AS max FROM arms GROUP BY arm")
 def arm_summary(spark, d):
     """ACT-07, AGG-15: spread of each arm over seeds."""

@@ -1,4 +1,4 @@
-"""Versioned snapshots of a table: each write is a new folder, and a pointer names the current one."""
+"""Versioned snapshots of a table: each write is a new folder, and a numbered commit makes it current."""
 
 from __future__ import annotations
 
@@ -6,33 +6,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Names that start with an underscore are hidden from Spark's readers.
-POINTER = "CURRENT"
-
+from quern.functions import logs
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+#: Names that start with an underscore are hidden from Spark's readers.
+LOG = "_commits"
 
 
 def current(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """The current snapshot, or an empty table of ``schema``."""
-    fs, pointer = _file_system(spark, f"{root}/{POINTER}")
-    if not fs.exists(pointer):
-        return spark.createDataFrame([], schema)
-    version = spark.read.text(f"{root}/{POINTER}").first()[0]
-    return spark.read.parquet(f"{root}/{version}")
+    body = logs.latest(spark, f"{root}/{LOG}")[1]
+    return spark.read.parquet(f"{root}/{body['version']}") if body else spark.createDataFrame([], schema)
 
 
 def publish(df: DataFrame, root: str) -> str:
-    """Write ``df`` as a new snapshot and make it current; earlier ones stay. Returns its name."""
+    """Write ``df`` as a new snapshot and make it current; earlier ones stay, and so do the commits that
+    named them. Of two writers the one that commits last is current. Returns the snapshot's name."""
     spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(f"{root}/{version}")
-    fs, pointer = _file_system(spark, f"{root}/{POINTER}")
-    out = fs.create(pointer, True)
-    out.write(bytearray(version.encode()))
-    out.close()
+    while not logs.commit(spark, f"{root}/{LOG}", logs.latest(spark, f"{root}/{LOG}")[0] + 1, {"version": version}):
+        pass
     return version
 
 

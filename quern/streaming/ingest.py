@@ -4,23 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quern.operators.manifest import merge_scan
-from quern.sources import snapshots
+from quern.sources import keyed
 
 INVENTORY = "rel_path string, sha256 string, size_bytes bigint"
 
 
 def merge_batch(batch: DataFrame, root: str) -> None:
-    """Merge one micro-batch of seen files into the snapshot; files that it doesn't hold stay as they are.
+    """Put one micro-batch of seen files into the inventory at ``root``: a commit that rewrites the buckets
+    it touches. Files that it doesn't hold stay as they are.
 
     A file seen twice in a batch counts once, with the digest that is largest. Merging a batch again
-    gives the same snapshot, so a restart may repeat it.
+    gives the same files, so a restart may repeat it.
     """
-    spark = batch.sparkSession
-    known = snapshots.current(spark, root, INVENTORY)
     seen = batch.groupBy("rel_path").agg(F.max(F.struct("sha256", "size_bytes")).alias("f")).select("rel_path", "f.*")
-    merged = merge_scan(known, seen).select("rel_path", "sha256", "size_bytes")
-    snapshots.publish(merged, root)
+    keyed.upsert(seen, root, "rel_path")
 
 
 def ingest(spark: SparkSession, source: str, root: str, checkpoint: str):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import audit, imaging, release
-from quern.sources import audited, readers, releases, snapshots
+from quern.sources import audited, keyed, readers, releases, snapshots
 from quern.streaming import ingest
 
 
@@ -54,8 +54,12 @@ def test_snapshots_and_stream(spark, tmp_path):
     ingest.ingest(spark, f"{tmp_path}/in", root, f"{tmp_path}/cp").awaitTermination()
     spark.createDataFrame([("b", "3", 2), ("c", "4", 4)], ingest.INVENTORY).write.mode("append").parquet(f"{tmp_path}/in")
     ingest.ingest(spark, f"{tmp_path}/in", root, f"{tmp_path}/cp").awaitTermination()
-    got = snapshots.current(spark, root, ingest.INVENTORY)
+    table = keyed.read(spark, root, ingest.INVENTORY)
+    assert all((r.first_seen < r.last_seen) == (r.rel_path == "b") for r in table.collect())
+    got = table.select("rel_path", "sha256", "size_bytes")
     assert sorted(map(tuple, got.collect())) == [("a", "1", 1), ("b", "3", 2), ("c", "4", 4)]
+    names = [snapshots.publish(t, f"{tmp_path}/versions") for t in (got, got.limit(1))]
+    assert snapshots.current(spark, f"{tmp_path}/versions", ingest.INVENTORY).count() == 1 and len(set(names)) == 2
     snapshots.write_csv(got, f"{tmp_path}/csv")
     snapshots.write_json(got, f"{tmp_path}/json")
     assert spark.read.csv(f"{tmp_path}/csv", header=True).count() == spark.read.json(f"{tmp_path}/json").count() == 3
