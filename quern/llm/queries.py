@@ -118,5 +118,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: op8 told by its definition: all windows of all items against all runs of as many words.
+WINDOWS_SQL = r"""WITH said AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+ spoken AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM said),
+ windows AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS run FROM (SELECT id AS item_id, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS p FROM spoken WHERE kind = 'i' AND len(w) > 0)),
+ runs AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS run FROM (SELECT id AS doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM spoken, (SELECT DISTINCT k FROM windows) WHERE kind = 'd' AND len(w) >= k)),
+ found AS MATERIALIZED (SELECT doc_id, item_id, p, runs.k FROM runs JOIN windows ON runs.k = windows.k AND runs.run = windows.run),
+ hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS place FROM found) GROUP BY doc_id),
+ named AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY doc_id)
+ SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+ FROM spoken LEFT JOIN hits ON hits.doc_id = id LEFT JOIN named ON named.doc_id = id WHERE kind = 'd'"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_winnowing": WINDOWS_SQL}
