@@ -8,7 +8,7 @@ import json
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.functions.storage import materialize
-from quern.operators import folders, merkle
+from quern.operators import folders, merkle, pathtree
 
 GENESIS = merkle.GENESIS
 MAX_DEPTH = 10
@@ -85,29 +85,22 @@ def directory_diff(before: DataFrame, after: DataFrame, path: str = "rel_path")
     return folders.changes(before, after, ["size_bytes", "mtime"], path)
 
 
-def touches(changed: Column, target: Column) -> Column:
-    """Whether a changed path is the target, inside it, or holds it."""
-    return (changed == target) | changed.startswith(F.concat(target, F.lit("/"))) | target.startswith(F.concat(changed, F.lit("/")))
-
-
-def prefixes(path: Column) -> Column:
-    """The path and every folder above it, as an array."""
-    parts = F.split(path, "/")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+def changed_paths(log: DataFrame) -> DataFrame:
+    """(seq, run_id, changed, coarse) of a log's outputs: a row for each listed path, and a coarse one for the
+    place itself where more changed than was listed. Missing places changed nothing."""
+    outputs = log.select("seq", "run_id", F.explode("outputs").alias("o")).filter("o.kind is null or o.kind <> 'missing'")
+    kinds = F.array("o.created", "o.deleted", "o.modified")
+    listed = F.flatten(F.transform(kinds, lambda k: F.coalesce(k["names"], F.array().cast("array<string>"))))
+    more = F.exists(kinds, lambda k: F.coalesce(k["count"], F.lit(0)) > F.coalesce(F.size(k["names"]), F.lit(0)))
+    place = F.rtrim("o.path", F.lit("/"))
+    named = outputs.select("seq", "run_id", F.explode(F.transform(listed, lambda n: F.when(n == "", place).otherwise(F.concat_ws("/", place, n)))).alias("changed"), F.lit(False).alias("coarse"))
+    return named.union(outputs.filter(more).select("seq", "run_id", place, F.lit(True)))
 
 
 def producers(runs: DataFrame, targets: DataFrame) -> DataFrame:
-    """(target, run_id, seq): the newest run before ``before_seq`` that changed each target (see
-    ``touches``).
-
-    A run touches a target if either path is among the other's prefixes, so two equi-joins on
-    prefixes find all of them.
-    """
-    inside = runs.select("seq", "run_id", F.explode(prefixes(F.col("changed"))).alias("target")).join(targets, "target")
-    above = targets.select("target", "before_seq", F.explode(prefixes(F.col("target"))).alias("changed")).join(runs, "changed")
-    hits = inside.select("target", "before_seq", "seq", "run_id").union(above.select("target", "before_seq", "seq", "run_id"))
-    newest = hits.filter("seq < before_seq").groupBy("target").agg(F.max(F.struct("seq", "run_id")).alias("m"))
-    return newest.select("target", F.col("m.run_id").alias("run_id"), F.col("m.seq").alias("seq"))
+    """(target, run_id, seq): the newest run before ``before_seq`` that changed each target: the path itself,
+    something inside, or something that holds it (see ``pathtree.newest_touching``)."""
+    return pathtree.newest_touching(runs, targets)
 
 
 def trace(start: DataFrame, edges: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:

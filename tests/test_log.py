@@ -204,3 +204,50 @@ def test_bad_lines_have_numbers(spark, tmp_path):
         readers.audit_log(spark, f"{tmp_path}/log")
     os.remove(tmp_path / "log/a.jsonl")
     assert readers.audit_log(spark, f"{tmp_path}/log").count() == 1
+
+
+# producers ----------------------------------------------------------------------------------------
+
+
+def test_places_in_a_tree(spark):
+    from quern.operators import pathtree
+
+    rng = random.Random(8)
+    paths = {"/".join(rng.choice(["a", "a.b", "a b", "ab", "é", "a\x03"]) for _ in range(rng.randint(1, 5))) for _ in range(150)}
+    rows = [(p,) for p in [*paths, *list(paths)[:9], None]]
+    got = {r.path: (r.low, r.high) for r in pathtree.numbered_tree(spark.createDataFrame(rows, "path string").repartition(4)).collect()}
+    assert set(got) == paths and sorted(low for low, _ in got.values()) == list(range(1, len(paths) + 1))
+    for p in paths:
+        for q in paths:
+            assert (got[q][0] < got[p][0] <= got[q][1]) == p.startswith(q + "/"), (p, q)
+
+
+def test_producers_against_a_search(spark):
+    rng = random.Random(9)
+    path = lambda: "/".join(["d", *(rng.choice(["v1", "v1.0", "v10", "x"]) for _ in range(rng.randint(0, 3)))])
+    runs = [(k, f"r{k}", path(), rng.random() < 0.2) for k in range(120)]
+    targets = {path(): rng.randint(0, 130) for _ in range(60)} | {"nowhere": 99, "d/v1/": 99}
+    schema = "seq long, run_id string, changed string, coarse boolean"
+    got = {r.target: (r.seq, r.run_id) for r in audit.producers(spark.createDataFrame(runs, schema), spark.createDataFrame(list(targets.items()), "target string, before_seq long")).collect()}
+    want = {}
+    for t, before in targets.items():
+        bare = t.rstrip("/")
+        hits = [(s, r) for s, r, c, coarse in runs if s < before and (c == bare or bare.startswith(c + "/") or (c.startswith(bare + "/") and not coarse))]
+        if hits:
+            want[t] = max(hits)
+    assert got == want and len(want) > 20
+
+
+def test_capped_lists_fall_back(spark, tmp_path):
+    """More files than a record lists: what isn't listed is found by the place alone; a sibling isn't."""
+    log, out = f"{tmp_path}/log", tmp_path / "out"
+    with audited.audited(spark, log, "many", {}, outputs=(str(out),)):
+        for k in range(60):
+            write(out / f"{k:02}.txt", "x")
+    with audited.audited(spark, log, "few", {}, outputs=(str(out),)):
+        write(out / "03.txt", "longer")
+    rows = audit.changed_paths(readers.audit_log(spark, log))
+    assert rows.filter("coarse").count() == 1 and rows.count() == 52
+    targets = [(f"{out}/03.txt", 9), (f"{out}/59.txt", 9), (str(out), 9), (f"{tmp_path}/outer", 9), (f"{out}/03.txt", 2)]
+    got = [(r.target, r.seq) for t in targets for r in audit.producers(rows, spark.createDataFrame([t], "target string, before_seq long")).collect()]
+    assert got == [(f"{out}/03.txt", 2), (f"{out}/59.txt", 1), (str(out), 2), (f"{out}/03.txt", 1)]
