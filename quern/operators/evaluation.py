@@ -52,7 +52,8 @@ def group_contributions(rows: DataFrame, threshold: float, group: str) -> DataFr
 
 def leave_one_group_out(rows: DataFrame, group: str) -> DataFrame:
     """(group, auroc_without, delta): the AUROC of the rows outside each group (null if a class is
-    absent), and its change.
+    absent), and its change. Sorted by the size of the change, the largest first and nulls last, ties
+    by group.
 
     Closed form: from all won pairs take those of the group's positives with all negatives and of
     all positives with the group's negatives, and give back those within the group.
@@ -74,7 +75,7 @@ def leave_one_group_out(rows: DataFrame, group: str) -> DataFrame:
     out = parts.crossJoin(F.broadcast(whole))
     without = auroc_of(F.col("W") - F.col("ours") - F.col("theirs") + F.col("within"), F.col("P") - F.col("gp"), F.col("N") - F.col("gn"), None)
     full = auroc_of(F.col("W"), F.col("P"), F.col("N"), None)
-    return out.select(group, without.alias("auroc_without"), (without - full).alias("delta"))
+    return out.select(group, without.alias("auroc_without"), (without - full).alias("delta")).orderBy(F.abs("delta").desc_nulls_last(), group)
 
 
 def aggregate_groups(rows: DataFrame, group: str, rule: str = "max", top_k: int = 3) -> DataFrame:

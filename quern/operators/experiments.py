@@ -150,3 +150,12 @@ def run(rows: DataFrame, seeds: tuple[int, ...] = (0, 1, 2), fraction: float = 0
     if chosen is None:
         chosen = members.limit(0).withColumn("round", F.lit(0))
     return results, chosen.select("seed", "arm", "round", "group")
+
+
+def write_arms(index: DataFrame, labelled: DataFrame, path: str, group: str = "group") -> None:
+    """Each arm's index, below ``path`` by seed, arm and round: the train rows of the groups in ``labelled``
+    (seed, arm, round, group) and all rows of the other splits. These are scratch, not releases."""
+    train = index.filter("split = 'train'").join(labelled.select("seed", "arm", "round", F.col("group").alias(group)).distinct(), group)
+    arms = labelled.select("seed", "arm", "round").distinct()
+    rest = index.filter("split <> 'train'").crossJoin(F.broadcast(arms))
+    train.unionByName(rest.select(*train.columns)).write.mode("errorifexists").partitionBy("seed", "arm", "round").parquet(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +50,50 @@ def overlay(pixels: np.ndarray, mask: np.ndarray, alpha: float = 0.4) -> np.ndar
     return rgb.round().astype(np.uint8)
 
 
+def side_by_side(left: np.ndarray, right: np.ndarray, gap: int = 2) -> np.ndarray:
+    """Two images beside each other with a white bar between; the lower one is filled up with black. Gray
+    ones become RGB where the other has colours."""
+    if left.ndim != right.ndim:
+        left, right = (p if p.ndim == 3 else np.repeat(p[:, :, None], 3, axis=2) for p in (left, right))
+    height = max(len(left), len(right))
+    fill = lambda p: np.pad(p, [(0, height - len(p))] + [(0, 0)] * (p.ndim - 1))
+    bar = np.full((height, gap, *left.shape[2:]), 255, dtype=np.uint8)
+    return np.concatenate([fill(left), bar, fill(right)], axis=1)
+
+
+def png(pixels: np.ndarray) -> bytes:
+    """Gray or RGB pixels as a PNG, without loss and always with the same bytes."""
+    chunk = lambda name, body: struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body))
+    height, width = pixels.shape[:2]
+    rows = np.ascontiguousarray(pixels, dtype=np.uint8).reshape(height, -1)
+    raw = b"".join(b"\0" + row.tobytes() for row in rows)
+    head = struct.pack(">IIBBBBB", width, height, 8, 2 if pixels.ndim == 3 else 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(raw, 9)) + chunk(b"IEND", b"")
+
+
+def normalised_masks(images: DataFrame, threshold: int = 128) -> DataFrame:
+    """(path, n_white, pixels_sha256, png, sha256) of masks as 0 and 255: the digest of the pixels, and the
+    PNG with the digest of its bytes. A file that can't be decoded has nulls. Written as a table, the PNGs
+    need no other place; ``pixels_sha256`` doesn't depend on how they are packed."""
+    schema = "path string, n_white long, pixels_sha256 string, png binary, sha256 string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string()]
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                if (r["width"] or -1) < 0:
+                    rows.append((r["path"], None, None, None, None))
+                    continue
+                mask = normalise_mask(gray(r["data"], r["width"], r["height"], r["channels"]), threshold)
+                packed = png(mask)
+                rows.append((r["path"], int((mask > 0).sum()), hashlib.sha256(mask.tobytes()).hexdigest(), packed, hashlib.sha256(packed).hexdigest()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["path", "n_white", "pixels_sha256", "png", "sha256"])
+
+    return images.select("path", "width", "height", "channels", "data").mapInArrow(run, schema)
+
+
 def read_images(spark, path: str) -> DataFrame:
     """(path, width, height, channels, data) of every file; a file that can't be decoded has width -1."""
     return spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path).select("image.origin", "image.width", "image.height", F.col("image.nChannels").alias("channels"), "image.data").withColumnRenamed("origin", "path")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quern.functions.keys import rounded, shuffle_key
+
 #: Triples that one task merges at a time.
 FAN_IN = 4096
 
@@ -45,6 +47,26 @@ def moments(images: DataFrame, pixels: str) -> DataFrame:
     return one.select(F.col("m.n").cast("long").alias("n"), F.when(some, F.col("m.mean")).alias("mean"), F.when(some, F.sqrt(F.col("m.m2") / F.col("m.n"))).alias("std"))
 
 
+def statistics(images: DataFrame, key: str, pixels: str, places: int = 2) -> DataFrame:
+    """(``key``, ``min``, ``max``, ``mean``, ``std``) of each image, the last two rounded; null without pixels."""
+    m = F.col("m")
+    return images.select(key, F.array_min(pixels).cast("double").alias("min"), F.array_max(pixels).cast("double").alias("max"), own_moments(F.col(pixels)).alias("m")).select(
+        key, "min", "max", rounded(m["mean"], places).alias("mean"), rounded(F.sqrt(m["m2"] / m["n"]), places).alias("std")
+    )
+
+
+def flipped(pixels: Column, width: int) -> Column:
+    """The image with each row from right to left."""
+    return F.transform(pixels, lambda _, k: F.get(pixels, (k - k % width + (width - 1) - k % width).cast("int")))
+
+
+def augmented(images: DataFrame, key: str, pixels: str, width: int, seed: int, split: str = "split") -> DataFrame:
+    """``images`` with half of the train images flipped, chosen by a keyed hash, so that a run with the seed
+    chooses the same; the other splits stay as they are."""
+    chosen = (F.col(split) == "train") & (F.substring(shuffle_key(seed, F.col(key)), 1, 1) < "8")
+    return images.withColumn(pixels, F.when(chosen, flipped(F.col(pixels), width)).otherwise(F.col(pixels)))
+
+
 def weights(size: int, wanted: int) -> list[list[float]]:
     """For each of ``wanted`` places the weights of ``size`` places: a triangle as wide as the step, but
     at least one place to each side, that adds up to 1."""

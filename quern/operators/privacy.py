@@ -57,6 +57,14 @@ def scan_names(names: DataFrame, column: str = "column") -> DataFrame:
     return names.select(column, plain.alias("plain"), tokens).filter("contains(plain, token)").select(column, F.concat(F.lit("name-implies:"), "token").alias("issue"))
 
 
+def column_like(rows: DataFrame, prefix: str | None = None, name: str | None = None) -> str | None:
+    """The first column whose name starts with ``prefix``, or is ``name``, in any case and with white space
+    joined; None if there is none."""
+    plain = lambda c: " ".join(c.split()).lower()
+    fits = [c for c in rows.columns if (prefix is not None and plain(c).startswith(plain(prefix))) or (name is not None and plain(c) == plain(name))]
+    return fits[0] if fits else None
+
+
 def over_age(rows: DataFrame, key: str, age: str, limit: float = MAX_SAFE_AGE) -> DataFrame:
     """Rows whose age, read as a number, is above the limit."""
     value = F.col(age).try_cast("double")

@@ -57,6 +57,19 @@ def index(files: DataFrame, decisions: DataFrame, labels: DataFrame, assignment:
     return joined.select(F.col("pseudonym").alias("patient"), "split", "variant", item, path.alias("path"), "sha256", *rest)
 
 
+def select(rows: DataFrame, text: str | None = None, text_columns: tuple[str, ...] = (), **wanted: object) -> DataFrame:
+    """Rows of an index that meet the conditions that are given: ``column=value``, ``column=[values]``, and
+    ``text`` anywhere in one of ``text_columns`` (any case). A condition that is None isn't made. Equalities
+    reach the files' reader."""
+    for column, value in wanted.items():
+        if value is not None:
+            rows = rows.filter(F.col(column).isin(list(value)) if isinstance(value, (list, tuple, set)) else F.col(column) == value)
+    if text is not None and text_columns:
+        found = [F.contains(F.lower(F.col(c).cast("string")), F.lit(text.lower())) for c in text_columns]
+        rows = rows.filter(F.coalesce(F.greatest(*found) if len(found) > 1 else found[0], F.lit(False)))
+    return rows
+
+
 def split_statistics(rows: DataFrame, assignment: DataFrame, groups: DataFrame, group: str, positive: Column) -> DataFrame:
     """Groups of each split (from the assignment) and items, positives and rate (from the index);
     all three splits always appear, a rate without items is 0."""

@@ -12,6 +12,7 @@ from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from quern.functions import logs
 from quern.operators.metrics import auroc, best_threshold, confusion, with_rates
 
 
@@ -40,3 +41,16 @@ def run_record(version: str, validation: DataFrame, test: DataFrame, config: dic
     metrics = with_rates(confusion(test, threshold)).first().asDict() | {"auroc": auroc(test).first()["auroc"]}
     stamp = datetime.datetime.now(datetime.timezone.utc).strftime("run-%Y%m%dT%H%M%SZ")
     return {"run_id": f"{stamp}-{uuid.uuid4().hex[:8]}", "dataset_version": version, "config": json.loads(json.dumps(config, default=str)), "selected_threshold": threshold, "metrics": metrics}
+
+
+def save(model: PipelineModel, predictions: DataFrame, record: dict, folder: str) -> None:
+    """A run's folder: the model, its predictions, and the record that names both. A run is written once."""
+    spark = predictions.sparkSession
+    model.write().save(f"{folder}/model")
+    predictions.write.mode("errorifexists").parquet(f"{folder}/predictions")
+    if not logs.create_text(spark, f"{folder}/run.json", logs.as_json(record)):
+        raise FileExistsError(f"{folder} holds a run")
+
+
+def load(folder: str) -> PipelineModel:
+    return PipelineModel.load(f"{folder}/model")

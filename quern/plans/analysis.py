@@ -86,6 +86,13 @@ def release_index(spark, d):
     return _index(spark, d).withColumns({"quality": F.col("quality").cast("int"), "toxic": F.col("toxic").cast("int")})
 
 
+@query(f"WITH {INDEX} SELECT patient, split, variant, doc_id, path FROM rel WHERE variant = 'en' AND split IN ('train', 'test') AND contains(lower(path), '/en/1')")
+def release_select(spark, d):
+    """FLT-03, FLT-04: rows of one variant and two splits, with the conditions that are given."""
+    found = release.select(_index(spark, d), text="/EN/1", text_columns=("path",), variant="en", split=["train", "test"], patient=None)
+    return found.select("patient", "split", "variant", "doc_id", "path")
+
+
 @query(f"""WITH {INDEX}, s AS (SELECT unnest(['train', 'validation', 'test']) AS split),
  g AS (SELECT split, count(*) AS n_groups, sum(any_positive)::BIGINT AS n_positive_groups FROM assignment GROUP BY split),
  i AS (SELECT split, count(*) AS n_items, count_if(toxic = 1)::BIGINT AS n_positive FROM rel GROUP BY split)

@@ -163,6 +163,40 @@ def export(spark, d):
     return table(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.lpad(key, 8, "0").alias("padded"), F.concat(key, F.lit(".0")).alias("decimals"), F.col("o_orderkey").cast("string").alias("other"), F.when(F.col("o_orderkey") % 4 == 0, key).otherwise("x").alias("mixed"))
 
 
+@query("SELECT c_custkey, c_acctbal AS value, 'age-over-89' AS issue FROM customer WHERE c_acctbal > 89")
+def safe_harbor_column(spark, d):
+    """FLT-07: the rule on the column whose name begins in some way, in any case."""
+    rows = table(spark, d, "customer")
+    return privacy.over_age(rows, privacy.column_like(rows, name="C_CUSTKEY"), privacy.column_like(rows, prefix="C_Acct"))
+
+
+@query(f"WITH {b.PIXELS} SELECT vec_id, list_min(p) AS min, list_max(p) AS max, floor(list_avg(p) * 100e0 + 0.5) / 100e0 AS mean, floor(list_stddev_pop(p) * 100e0 + 0.5) / 100e0 AS std FROM pixels")
+def pixel_statistics(spark, d):
+    """AGG-19: the least, largest and mean pixel of every image, and their deviation."""
+    return pixels.statistics(table(spark, d, "embeddings").select("vec_id", b.pixels().alias("p")), "vec_id", "p")
+
+
+@query(f"""WITH {b.PIXELS}, groups AS (SELECT DISTINCT label, 0 AS one FROM embeddings), {split_sql('groups', 'label', 'one')},
+ turned AS (SELECT vec_id, split, CASE WHEN split = 'train' AND sha256('{b.SEED}|' || vec_id)[1:1] < '8' THEN list_transform(range(64), lambda k: p[(k - k % 8 + 7 - k % 8 + 1)::BIGINT]) ELSE p END AS p FROM pixels JOIN assignment USING (label))
+ SELECT vec_id, split, list_aggregate(list_transform(p, lambda x: x::BIGINT::VARCHAR), 'string_agg', ',') AS pixels FROM turned""")
+def pixel_augmented(spark, d):
+    """TRN-03: every image as a model sees it, half of the train images flipped."""
+    rows = pixels.augmented(b.pixel_split(spark, d), "vec_id", "p", 8, b.SEED)
+    return rows.select("vec_id", "split", F.array_join(F.transform("p", lambda x: x.cast("long").cast("string")), ",").alias("pixels"))
+
+
+@query(f"""WITH {b.PIXELS}, masks AS (SELECT vec_id, list_transform(p, lambda x: CASE WHEN x > 128 THEN 255 ELSE 0 END) AS m FROM pixels)
+ SELECT 'mask/' || vec_id AS path, len(list_filter(m, lambda x: x > 0)) AS n_white, sha256(from_hex(list_aggregate(list_transform(m, lambda x: CASE WHEN x > 0 THEN 'FF' ELSE '00' END), 'string_agg', ''))) AS pixels_sha256 FROM masks""")
+def normalized_masks(spark, d):
+    """SNK-05, FN-25: every image as a mask of 0 and 255, packed as a PNG."""
+    from quern.operators import imaging
+
+    data = F.unhex(F.array_join(F.transform(b.pixels(), lambda p: F.lpad(F.hex(p.cast("long")), 2, "0")), ""))
+    size = F.lit(8)
+    images = table(spark, d, "embeddings").select(F.concat(F.lit("mask/"), F.col("vec_id").cast("string")).alias("path"), size.alias("width"), size.alias("height"), F.lit(1).alias("channels"), data.alias("data"))
+    return imaging.normalised_masks(images).select("path", "n_white", "pixels_sha256")
+
+
 @query(f"WITH {b.IMAGE_MARKS} SELECT path, m.issue AS issue, m.key AS key FROM marks")
 def image_metadata(spark, d):
     """PRV-04: tags, comments and texts that image files hold beside their pixels."""
