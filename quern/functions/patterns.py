@@ -1,7 +1,7 @@
 """Patterns and word lists of the privacy scan."""
 
 #: Patterns of direct identifiers in free text (fixed values; ASCII character classes).
-TEXT_PATTERNS = {
+IN_TEXT = {
     "email": r"[\w.+-]+@[\w-]+\.[\w.]+",
     "phone": r"(?:\+?\d[\s.-]?){7,}\d",
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
@@ -12,10 +12,10 @@ TEXT_PATTERNS = {
 }
 
 #: Parts of column names that tell of direct identifiers (fixed values).
-NAME_TOKENS = ("name", "mrn", "medical_record", "dob", "birth", "address", "street", "city", "zip", "postal", "phone", "tel", "email", "ssn", "insurance", "accession", "physician", "doctor")
+IN_NAMES = ("name", "mrn", "medical_record", "dob", "birth", "address", "street", "city", "zip", "postal", "phone", "tel", "email", "ssn", "insurance", "accession", "physician", "doctor")
 
 #: The form of a pseudonym (fixed value).
-PSEUDONYM = r"^PAT-[0-9a-f]{12}$"
+PSEUDONYM_FORM = r"^PAT-[0-9a-f]{12}$"
 
 #: Ages above this must be grouped (fixed value).
-MAX_SAFE_AGE = 89
+OLDEST_TOLD = 89

@@ -8,7 +8,7 @@ import secrets
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.functions.keys import pseudonym, ratio
-from quern.functions.patterns import MAX_SAFE_AGE, NAME_TOKENS, PSEUDONYM, TEXT_PATTERNS
+from quern.functions.patterns import OLDEST_TOLD, IN_NAMES, PSEUDONYM_FORM, IN_TEXT
 
 MATCH_CHARS = 60
 
@@ -45,14 +45,14 @@ def scan_text(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
     # each pattern runs once, and one that needs a certain text only where that stands
     needs = {"email": "@", "url": "http"}
     match = lambda k, p: F.when(F.contains("value", F.lit(needs.get(k, ""))), F.regexp_extract("value", p, 0)).otherwise("")
-    found = F.array(*[F.struct(F.lit(f"possible-{k}").alias("issue"), match(k, p).alias("match")) for k, p in TEXT_PATTERNS.items()])
+    found = F.array(*[F.struct(F.lit(f"possible-{k}").alias("issue"), match(k, p).alias("match")) for k, p in IN_TEXT.items()])
     cells = cells.select(key, "column", F.explode(found).alias("f")).filter("f.match <> ''")
     return cells.select(key, "column", "f.issue", F.left("f.match", F.lit(MATCH_CHARS)).alias("match"))
 
 
 def scan_names(names: DataFrame, column: str = "column") -> DataFrame:
     """(column, issue) for every token that a column's name holds, other characters as ``_``."""
-    tokens = F.explode(F.array(*map(F.lit, NAME_TOKENS))).alias("token")
+    tokens = F.explode(F.array(*map(F.lit, IN_NAMES))).alias("token")
     plain = F.regexp_replace(F.lower(column), "[^a-z]", "_")
     return names.select(column, plain.alias("plain"), tokens).filter("contains(plain, token)").select(column, F.concat(F.lit("name-implies:"), "token").alias("issue"))
 
@@ -65,7 +65,7 @@ def column_like(rows: DataFrame, prefix: str | None = None, name: str | None = N
     return fits[0] if fits else None
 
 
-def over_age(rows: DataFrame, key: str, age: str, limit: float = MAX_SAFE_AGE) -> DataFrame:
+def over_age(rows: DataFrame, key: str, age: str, limit: float = OLDEST_TOLD) -> DataFrame:
     """Rows whose age, read as a number, is above the limit."""
     value = F.col(age).try_cast("double")
     return rows.select(key, value.alias("value")).filter(F.col("value") > limit).withColumn("issue", F.lit(f"age-over-{int(limit)}"))
@@ -99,7 +99,7 @@ def leak_fractions(export: DataFrame, identifier: str, columns: list[str], thres
 
 def malformed(export: DataFrame, column: str = "patient") -> DataFrame:
     """Rows whose pseudonym isn't of the fixed form."""
-    return export.filter(~F.coalesce(F.col(column).rlike(PSEUDONYM), F.lit(False)))
+    return export.filter(~F.coalesce(F.col(column).rlike(PSEUDONYM_FORM), F.lit(False)))
 
 
 def gate(checks: dict[str, DataFrame]) -> DataFrame:

@@ -23,42 +23,42 @@ def count_mismatches(census: DataFrame, group: str, first: str, second: str) ->
     return finding(census.filter(F.col(first) != F.col(second)), "slice-counts", WARNING, "window-count-mismatch", F.col(group))
 
 
-def orphans(items: DataFrame, labels: DataFrame, attachments: DataFrame, key: str) -> DataFrame:
-    """Labels without an item, items without a label, attachments without an item."""
+def orphans(items: DataFrame, labels: DataFrame, attachments: DataFrame, key: str, issues: tuple[str, str, str] = ("label-without-image", "image-without-label", "mask-without-slice")) -> DataFrame:
+    """Labels without an item, items without a label, attachments without an item; ``issues`` names them."""
     return (
-        finding(unmatched(labels, items, [key]), "orphans", ERROR, "label-without-image", F.col(key))
-        .unionByName(finding(unmatched(items, labels, [key]), "orphans", ERROR, "image-without-label", F.col(key)))
-        .unionByName(finding(unmatched(attachments, items, [key]), "orphans", ERROR, "mask-without-slice", F.col(key)))
+        finding(unmatched(labels, items, [key]), "orphans", ERROR, issues[0], F.col(key))
+        .unionByName(finding(unmatched(items, labels, [key]), "orphans", ERROR, issues[1], F.col(key)))
+        .unionByName(finding(unmatched(attachments, items, [key]), "orphans", ERROR, issues[2], F.col(key)))
     )
 
 
-def agreement(attachments: DataFrame, positives: DataFrame, key: str) -> DataFrame:
-    """Attachments without a positive label, and positive labels without an attachment."""
-    return finding(unmatched(attachments, positives, [key]), "mask-label-agreement", ERROR, "mask-but-no-hemorrhage-label", F.col(key)).unionByName(
-        finding(unmatched(positives, attachments, [key]), "mask-label-agreement", ERROR, "hemorrhage-label-but-no-mask", F.col(key))
+def agreement(attachments: DataFrame, positives: DataFrame, key: str, issues: tuple[str, str] = ("mask-but-no-hemorrhage-label", "hemorrhage-label-but-no-mask")) -> DataFrame:
+    """Attachments without a positive label, and positive labels without an attachment; ``issues`` names them."""
+    return finding(unmatched(attachments, positives, [key]), "mask-label-agreement", ERROR, issues[0], F.col(key)).unionByName(
+        finding(unmatched(positives, attachments, [key]), "mask-label-agreement", ERROR, issues[1], F.col(key))
     )
 
 
-def coverage(items: DataFrame, profiles: DataFrame, key: str) -> DataFrame:
-    """Groups without a profile, and profiles without a group."""
-    return finding(unmatched(items, profiles, [key]), "demographics", ERROR, "images-without-demographics", F.col(key)).unionByName(
-        finding(unmatched(profiles, items, [key]), "demographics", ERROR, "demographics-without-images", F.col(key))
+def coverage(items: DataFrame, profiles: DataFrame, key: str, issues: tuple[str, str] = ("images-without-demographics", "demographics-without-images")) -> DataFrame:
+    """Groups without a profile, and profiles without a group; ``issues`` names them."""
+    return finding(unmatched(items, profiles, [key]), "demographics", ERROR, issues[0], F.col(key)).unionByName(
+        finding(unmatched(profiles, items, [key]), "demographics", ERROR, issues[1], F.col(key))
     )
 
 
-def plausibility(profiles: DataFrame, key: str, age: str, low: float = 0, high: float = 120, infant: float = 1) -> DataFrame:
+def plausibility(profiles: DataFrame, key: str, age: str, low: float = 0, high: float = 120, infant: float = 1, issues: tuple[str, str] = ("implausible-age", "paediatric-age-under-1-year")) -> DataFrame:
     """Ages that are null, negative or too high are errors; those under ``infant`` are warnings."""
     value = F.col(age)
     bad = value.isNull() | F.isnan(value) | (value < low) | (value > high)
-    return finding(profiles.filter(bad), "demographics", ERROR, "implausible-age", F.col(key)).unionByName(
-        finding(profiles.filter(~bad & (value < infant)), "demographics", WARNING, "paediatric-age-under-1-year", F.col(key))
+    return finding(profiles.filter(bad), "demographics", ERROR, issues[0], F.col(key)).unionByName(
+        finding(profiles.filter(~bad & (value < infant)), "demographics", WARNING, issues[1], F.col(key))
     )
 
 
-def unexpected_values(profiles: DataFrame, column: str, allowed: list[str]) -> DataFrame:
+def unexpected_values(profiles: DataFrame, column: str, allowed: list[str], issue: str = "unexpected-gender-value") -> DataFrame:
     """Values outside the domain, each once; nulls are not judged."""
     rows = profiles.select(column).distinct().filter(~F.col(column).isin(allowed))
-    return finding(rows, "demographics", ERROR, "unexpected-gender-value", F.col(column))
+    return finding(rows, "demographics", ERROR, issue, F.col(column))
 
 
 def summary_disagreements(items: DataFrame, summary: DataFrame, group: str, terms: list[str]) -> DataFrame:

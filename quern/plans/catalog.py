@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quern.functions.keys import _pads, replace_segment
-from quern.functions.patterns import NAME_TOKENS, TEXT_PATTERNS
+from quern.functions.patterns import IN_NAMES, IN_TEXT
 from quern.operators import curation, image_metadata as image_metadata_op, labels, manifest, pixels, privacy, quality_gates as qc, similarity
 from quern.plans import bindings as b
 from quern.plans.bindings import DECISIONS, INV, LONG, OLD, SALT, TAXONOMY_SQL, split_sql, table
@@ -119,7 +119,7 @@ def _pattern_sql(p: str) -> str:
     return p.replace("'", "''")
 
 
-PHI = "phi AS (" + " UNION ALL ".join(f"SELECT doc_id, 'possible-{k}' AS issue, regexp_extract(text, '{_pattern_sql(p)}', 0)[1:60] AS match FROM documents WHERE regexp_matches(text, '{_pattern_sql(p)}')" for k, p in TEXT_PATTERNS.items()) + ")"
+PHI = "phi AS (" + " UNION ALL ".join(f"SELECT doc_id, 'possible-{k}' AS issue, regexp_extract(text, '{_pattern_sql(p)}', 0)[1:60] AS match FROM documents WHERE regexp_matches(text, '{_pattern_sql(p)}')" for k, p in IN_TEXT.items()) + ")"
 
 
 @query(f"WITH {PHI} SELECT doc_id, 'text' AS \"column\", issue, match FROM phi")
@@ -130,7 +130,7 @@ def phi_scan(spark, d):
 
 NAMES = ["PatientName", "MRN", "DOB", "SliceNumber", "Home Address", "zip_code", "Age (years)", "e-mail", "TelNo", "doctor"]
 NAMES_SQL = "names AS (SELECT unnest([" + ",".join(f"'{n}'" for n in NAMES) + "]) AS \"column\")"
-TOKENS_SQL = "tokens AS (SELECT unnest([" + ",".join(f"'{t}'" for t in NAME_TOKENS) + "]) AS token)"
+TOKENS_SQL = "tokens AS (SELECT unnest([" + ",".join(f"'{t}'" for t in IN_NAMES) + "]) AS token)"
 
 
 @query(f"WITH {NAMES_SQL}, {TOKENS_SQL} SELECT \"column\", 'name-implies:' || token AS issue FROM names, tokens WHERE contains(regexp_replace(lower(\"column\"), '[^a-z]', '_', 'g'), token)")
