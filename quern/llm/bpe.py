@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -57,9 +58,10 @@ class Codec:
         vocab = {spell(raw): rank for raw, rank in ranks.items()}
         self.model = Tokenizer(models.BPE(vocab=vocab, merges=[m[2:] for m in merges], ignore_merges=True, cache_capacity=0))
         self.pattern = regex.compile(pattern)
-        self.raw = [b""] * (max(ranks.values()) + 1)
-        for raw, rank in ranks.items():
-            self.raw[rank] = raw
+        # decoding reverses the table: an id's characters, as the library spells them, back to bytes
+        to_byte = {c: b for b, c in enumerate(table)}
+        spelled = ((i, self.model.id_to_token(i)) for i in range(max(ranks.values()) + 1))
+        self.raw = [bytes(map(to_byte.__getitem__, token or "")) for _, token in spelled]
         self.decimal = [str(i) for i in range(len(self.raw))]
         self.pieces: dict[str, tuple[int, ...]] = {}
 
@@ -84,17 +86,19 @@ class Codec:
     def decode_bytes(self, ids) -> bytes:
         return b"".join(map(self.raw.__getitem__, ids))
 
-    def offsets(self, text: str, ids: list[int]) -> list[tuple[int, int]]:
-        """The characters [start, end) that hold each id's bytes; ids that share a character overlap."""
-        at, owner = [], []
-        for k, ch in enumerate(text):
-            owner += [k] * len(ch.encode("utf-8"))
-        p = 0
-        for i in ids:
-            n = len(self.raw[i])
-            at.append((owner[p], owner[p + n - 1] + 1))
-            p += n
-        return at
+    def encode_with_offsets(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
+        """The ids and, for each, the characters [start, end) of the text that hold its bytes, from the
+        library's own offsets: those count bytes of a piece (a character stands for each), and a
+        piece's bytes are counted off along its characters. Ids that share a character overlap."""
+        ids, spans = [], []
+        for match in self.pattern.finditer(text):
+            piece, begin = match.group(), match.start()
+            found = self.model.encode("".join(map(self.to_chars.__getitem__, piece.encode("utf-8"))), add_special_tokens=False)
+            ends = np.cumsum([len(ch.encode("utf-8")) for ch in piece])
+            ids += found.ids
+            for a, b in found.offsets:
+                spans.append((begin + int(np.searchsorted(ends, a, side="right")), begin + int(np.searchsorted(ends, b - 1, side="right")) + 1))
+        return ids, spans
 
 
 @lru_cache(maxsize=2)
@@ -113,8 +117,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_of
         c = codec(path, pattern)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            ids = [c.encode(t) for t in texts]
-            spans = [[{"start": a, "end": b} for a, b in c.offsets(t, i)] if with_offsets else [] for t, i in zip(texts, ids)]
+            both = [c.encode_with_offsets(t) if with_offsets else (c.encode(t), []) for t in texts]
+            ids = [i for i, _ in both]
+            spans = [[{"start": a, "end": b} for a, b in found] for _, found in both]
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept.fields]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(ids, pa.list_(pa.int32())), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],

@@ -55,8 +55,16 @@ def test_bpe_any_text(reference, text):
     c = bpe.codec(RANKS, P.PATTERN)
     ids = c.encode(text)
     assert ids == reference.encode_ordinary(text) and c.decode_bytes(ids).decode() == text
-    spans = c.offsets(text, ids)
-    assert all(b"".join(c.raw[i] for i in [tok]) in text[a:b].encode() for tok, (a, b) in zip(ids, spans))
+    again, spans = c.encode_with_offsets(text)
+    owner = [k for k, ch in enumerate(text) for _ in ch.encode()]  # the character of each byte
+    ends = np.cumsum([len(c.raw[i]) for i in ids]).astype(int).tolist()
+    assert again == ids and spans == [(owner[b - len(c.raw[i])], owner[b - 1] + 1) for i, b in zip(ids, ends)]
+
+
+def test_bpe_table_is_reversed():
+    """Every rank's bytes come back from the library's characters."""
+    c, ranks = bpe.codec(RANKS, P.PATTERN), bpe.read_ranks(RANKS)
+    assert all(c.raw[rank] == raw for raw, rank in ranks.items()) and len(set(bpe.byte_characters())) == 256
 
 
 def test_bpe_frames_and_split_characters(spark):
