@@ -95,8 +95,9 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFr
     """(u, v): links that connect exactly the distinct ``bits`` that chains of near pairs connect.
 
     Buckets of the covering tables are dealt out in blocks of about ``block`` fingerprints by a
-    hash; a bucket's blocks meet in pairs, and each meeting returns a forest of its near pairs, so
-    rows stay in proportion to fingerprints however large a bucket is.
+    hash; a bucket's blocks meet in pairs, and each meeting returns a forest of its near pairs (under
+    2 * ``block`` links). So a bucket of m distinct fingerprints, m over ``block``, takes about
+    m * m / 2 comparisons and up to m * m / ``block`` links; copies of a fingerprint count once.
     """
     keyed = prints.select(
         "bits",

@@ -461,11 +461,32 @@ def test_classifiers_on_held_out_rows(spark):
     from quern.llm import queries as q
 
     labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-    for run, label, n, part, least in ((q.op3_rule_ensemble, "quality", 4, 2, 0.9), (q.op4_string_kernel, "toxic", 5, 0, 0.85)):
+    # each side on its own, as most documents are good and clean: good ones kept and bad ones told, toxic ones
+    # found and others left alone (few labels here: 64 for toxicity, 6 of them toxic)
+    for run, label, n, part, least in ((q.op3_rule_ensemble, "quality", 4, 2, {1: 0.95, 0: 0.8}), (q.op4_string_kernel, "toxic", 5, 0, {1: 0.5, 0: 0.97})):
         got = run(spark, SF).collect()
         assert len(got) == 1000 and all(r.held_out == (crc(r.doc_id, n) == part) and 0 <= r.score <= 1 for r in got)
-        judged = [(r.predicted, labels[r.doc_id][label]) for r in got if r.held_out and r.doc_id in labels]
-        assert sum(a == b for a, b in judged) > least * len(judged)
+        for value, share in least.items():
+            judged = [r.predicted == value for r in got if r.held_out and r.doc_id in labels and labels[r.doc_id][label] == value]
+            assert judged and sum(judged) >= share * len(judged), (run.__name__, value, sum(judged), len(judged))
+
+
+@needs_data
+def test_stages_drop_what_their_scores_reject(spark):
+    import corpus_pipeline as pipe
+
+    small = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    for stage, operator, keeps in ((pipe.toxicity_stage, toxicity, lambda s: s < 0.5), (pipe.quality_stage, quality, lambda s: s >= 0.7)):
+        model = operator.learn(docs, labels)
+        scores = {r.doc_id: r.score for r in operator.score(docs, model, ["doc_id"]).collect()}
+        kept = {r.doc_id for r in stage(spark, docs, SF).select("doc_id").collect()}
+        assert kept == {k for k, s in scores.items() if keeps(s)} and 0 < len(kept) < len(scores)
+    few = spark.read.parquet(f"{small}/documents.parquet")
+    lengths = {r.doc_id: r.n_tokens for r in pipe.bpe_stage(spark, few, small).collect()}
+    assert len(lengths) == few.count() and all(n > 0 for n in lengths.values())
+    for stage in (pipe.decontamination_stage, pipe.bpe_stage):
+        assert stage(spark, few.limit(0), small).count() == 0
 
 
 @needs_data
@@ -552,4 +573,4 @@ def test_registry():
     import __spark_entry__ as e
 
     names = [n for n in e.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in e.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in e.queries()
