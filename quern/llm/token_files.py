@@ -14,10 +14,13 @@ An empty table gives a dataset without documents.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +32,12 @@ from quern.llm.storage import delete_at_end, shared_dir
 END = 2
 #: Ids of a row at most.
 CHUNK = 1 << 16
-#: Characters that one call of the library gets, as long as there is white space to cut at.
+#: Characters that are cut into words at a time, as long as there is white space to cut at.
 SEGMENT = 1 << 18
+#: Words that are looked up at a time, and rows of a batch that are taken together.
+AT_ONCE, ROWS = 50_000, 256
+#: Entries of a worker's table of words, and their characters; it is emptied when either is passed.
+WORDS, WORD_CHARS = 400_000, 8 << 20
 #: How the files are laid out.
 LAYOUT = {
     "orc.bloom.filter.columns": "key",
@@ -44,13 +51,79 @@ LAYOUT = {
 }
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    """One tokenizer for each Python worker."""
-    from tokenizers import Tokenizer
+#: A mark behind a Latin letter that ends what stands between blanks; the pattern cuts there in any case.
+STOP = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,;:!?](?![^ \n])")
+
+
+class Encoder:
+    """The library behind a table of words: what stands between blanks is encoded once and remembered.
+
+    Words of letters alone go to the library as lines of one text, since each is one piece of its
+    pattern and a piece's last id is one that ends a word; others go one by one.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.model = Tokenizer.from_file(path)
+        vocab = self.model.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str | None, int] = {None: 0}  # None stands for a text's end
+        self.first, self.length = np.zeros(1 << 12, np.int64), np.ones(1 << 12, np.int64)
+        self.pool = np.full(1 << 14, END, np.int32)
+        self.chars, self.used = 0, 1
+
+    def _put(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        at, n = len(self.words), len(words)
+        while at + n > len(self.first):
+            self.first, self.length = np.resize(self.first, 2 * len(self.first)), np.resize(self.length, 2 * len(self.length))
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * len(self.pool))
+        self.first[at : at + n] = self.used + np.cumsum(lengths) - lengths
+        self.length[at : at + n] = lengths
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.words.update(zip(words, range(at, at + n)))
+        self.used += len(ids)
+        self.chars += sum(map(len, words))
+
+    def _learn(self, words: list[str]) -> None:
+        letters = [w for w in words if unicodedata.normalize("NFC", w).lower().isalpha()]
+        ids = np.array(self.model.encode_batch_fast(["\n".join(letters)], add_special_tokens=False)[0].ids, dtype=np.int32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == len(letters):
+            self._put(letters, ids, np.diff(ends, prepend=0))
+            words = [w for w in words if w not in self.words]
+        if words:
+            found = [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
+            self._put(words, np.fromiter(chain.from_iterable(found), np.int32), np.array([len(i) for i in found], dtype=np.int64))
+
+    def ids(self, words: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words and text ends, and where among them texts end."""
+        if missing := [w for w in dict.fromkeys(words) if w not in self.words]:
+            if len(self.words) > WORDS or self.chars > WORD_CHARS:
+                self._forget()
+                missing = [w for w in dict.fromkeys(words) if w is not None]
+            self._learn(missing)
+        place = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        length = self.length[place]
+        after = np.cumsum(length)
+        return self.pool[np.repeat(self.first[place] - after + length, length) + np.arange(length.sum())], after[place == 0]
+
+
+def cut(text: str) -> list[str]:
+    """What stands between blanks and line ends."""
+    return STOP.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokenizer.from_file(path)
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder for each Python worker."""
+    return Encoder(path)
 
 
 def segments(text: str, limit: int = SEGMENT) -> Iterator[str]:
@@ -69,19 +142,26 @@ def segments(text: str, limit: int = SEGMENT) -> Iterator[str]:
     yield text[at:]
 
 
-def encode(texts: list[str], path: str) -> list[np.ndarray]:
-    """The ids of each text, with the end id."""
-    pieces = [list(segments(t)) for t in texts]
-    flat, found, held, chars = [p for many in pieces for p in many], [], [], 0
-    model = tokenizer(path)
-    for k, piece in enumerate(flat):
-        held.append(piece)
-        chars += len(piece)
-        if chars >= SEGMENT or k == len(flat) - 1:
-            found += [np.array(e.ids, dtype=np.int32) for e in model.encode_batch_fast(held, add_special_tokens=False)]
-            held, chars = [], 0
-    ids = iter(found)
-    return [np.concatenate([*(next(ids) for _ in many), np.array([END], dtype=np.int32)]) for many in pieces]
+def encode(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts one after the other, each with the end id, and where each ends."""
+    model, parts, stops, words, total = encoder(path), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [], 0
+
+    def flush() -> None:
+        nonlocal total
+        ids, ends = model.ids(words)
+        parts.append(ids)
+        stops.append(ends + total)
+        total += len(ids)
+        words.clear()
+
+    for text in texts:
+        for piece in segments(text):
+            words += cut(piece)
+            if len(words) > AT_ONCE:
+                flush()
+        words.append(None)
+    flush()
+    return np.concatenate(parts), np.concatenate(stops)
 
 
 def write(docs: DataFrame, where: str, path: str, key: str = "doc_id", text: str = "text") -> None:
@@ -95,20 +175,20 @@ def write(docs: DataFrame, where: str, path: str, key: str = "doc_id", text: str
 
         part, place, first = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                rows = []
-                for name, ids in zip(some.column(0), encode(some.column(1).to_pylist(), path)):
-                    cuts = range(0, len(ids), CHUNK)
-                    for k, c in enumerate(cuts):
-                        piece = ids[c : c + CHUNK]
-                        rows.append((name.as_py(), part, place, k, k == len(cuts) - 1, first, len(piece), piece))
-                        first += len(piece)
-                    place += 1
-                ends = np.cumsum([0, *(r[6] for r in rows)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([r[7] for r in rows])))
-                types = [some.column(0).type, pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([*(pa.array([r[c] for r in rows], t) for c, t in enumerate(types)), lists], names=out.names)
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                ids, stops = encode(some.column(1).to_pylist(), path)
+                rows, begin = [], 0
+                for k, stop in enumerate(stops.tolist()):
+                    cuts = range(begin, stop, CHUNK)
+                    rows += [(k, part, place, c, c == len(cuts) - 1, first + a, min(CHUNK, stop - a)) for c, a in enumerate(cuts)]
+                    begin, place = stop, place + 1
+                columns = list(zip(*rows))
+                keys = some.column(0).take(pa.array(columns[0], pa.int32()))
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *columns[6]]), pa.int32()), pa.array(ids))
+                types = [pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([keys, *(pa.array(c, t) for c, t in zip(columns[1:], types)), lists], names=out.names)
+                first += len(ids)
 
     out = T.StructType([
         T.StructField("key", kind), T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType()), T.StructField("chunk", T.IntegerType()),
