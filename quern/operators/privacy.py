@@ -57,6 +57,19 @@ def scan_names(names: DataFrame, column: str = "column") -> DataFrame:
     return names.select(column, plain.alias("plain"), tokens).filter("contains(plain, token)").select(column, F.concat(F.lit("name-implies:"), "token").alias("issue"))
 
 
+def scan_schemas(tables: dict[str, DataFrame]) -> DataFrame:
+    """(source, column, issue, n_values) for the columns of tables whose names imply identifiers, and how many
+    values they hold: a name alone leaks nothing. One pass over each table, columns by columns."""
+    found = None
+    for source, rows in tables.items():
+        counts = rows.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in rows.columns])
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("n_values")) for c in rows.columns]))
+        named = counts.select(pairs.alias("p")).select(F.lit(source).alias("source"), "p.*")
+        found = named if found is None else found.union(named)
+    issues = scan_names(found.select("column").distinct())
+    return found.join(issues, "column").select("source", "column", "issue", "n_values")
+
+
 def column_like(rows: DataFrame, prefix: str | None = None, name: str | None = None) -> str | None:
     """The first column whose name starts with ``prefix``, or is ``name``, in any case and with white space
     joined; None if there is none."""

@@ -23,6 +23,13 @@ def test_columns_by_name(spark):
     assert privacy.column_like(rows, prefix="weight") is None and privacy.column_like(rows, name="age") is None
 
 
+def test_names_of_all_tables(spark):
+    a = spark.createDataFrame([("x", None), (None, None)], "`Patient.Name` string, zip int")
+    b = spark.createDataFrame([(1,)], "k int")
+    got = {tuple(r) for r in privacy.scan_schemas({"a": a, "b": b, "again": a.select("zip")}).collect()}
+    assert got == {("a", "Patient.Name", "name-implies:name", 1), ("a", "zip", "name-implies:zip", 0), ("again", "zip", "name-implies:zip", 0)}
+
+
 def test_masks_and_pictures(spark):
     rng = np.random.default_rng(0)
     gray, colour = rng.integers(0, 256, (3, 5), dtype=np.uint8), rng.integers(0, 256, (4, 2, 3), dtype=np.uint8)
