@@ -20,7 +20,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -104,12 +104,14 @@ class Encoder:
 
     def ids(self, words: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words and text ends, and where among them texts end."""
-        if missing := [w for w in dict.fromkeys(words) if w not in self.words]:
-            if len(self.words) > WORDS or self.chars > WORD_CHARS:
-                self._forget()
-                missing = [w for w in dict.fromkeys(words) if w is not None]
-            self._learn(missing)
-        place = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        place = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(place < 0).tolist()
+        if unknown and (len(self.words) > WORDS or self.chars > WORD_CHARS):
+            self._forget()
+            unknown = [k for k, w in enumerate(words) if w is not None]
+        if unknown:
+            self._learn(list(dict.fromkeys(words[k] for k in unknown)))
+            place[unknown] = [self.words[words[k]] for k in unknown]
         length = self.length[place]
         after = np.cumsum(length)
         return self.pool[np.repeat(self.first[place] - after + length, length) + np.arange(length.sum())], after[place == 0]
@@ -244,8 +246,8 @@ def documents(spark: SparkSession, where: str) -> DataFrame:
 
     head = rows.select("key", "part", "place", "chunk", "last", "first", "ids")
     out = T.StructType([*head.schema.fields[:6], T.StructField("crc", T.LongType()), T.StructField("n", T.LongType())])
-    summed = head.mapInArrow(sums, out)
-    whole = summed.filter("chunk = 0 and last").select("key", "part", "first", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+    # either filter reaches the ORC reader, which leaves out stretches without a long document
+    whole = head.filter("chunk = 0 and last").mapInArrow(sums, out).select("key", "part", "first", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
 
     def join(table: pa.Table) -> pa.Table:
         got = sorted(table.to_pylist(), key=lambda r: r["chunk"])
@@ -253,7 +255,7 @@ def documents(spark: SparkSession, where: str) -> DataFrame:
         first = table.filter(pa.compute.equal(table["chunk"], 0))
         return pa.table([first["key"], first["part"], first["first"], pa.array([sum(r["n"] for r in got)], pa.int64()), pa.array([crc], pa.int64())], names=["key", "part", "first", "n_tokens", "ids_crc32"])
 
-    many = summed.filter("not (chunk = 0 and last)").groupBy("part", "place").applyInArrow(join, whole.schema)
+    many = head.filter("chunk > 0 or not last").mapInArrow(sums, out).groupBy("part", "place").applyInArrow(join, whole.schema)
     starts = read_parts(spark, where).select("part", "start")
     return whole.union(many).join(starts, "part").select("key", (F.col("start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
 
