@@ -404,9 +404,12 @@ def _fit_sentences(toxic: Features, clean: Features) -> Model:
     half = (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
     table = landmark @ half
     a, b = toxic.times(table, index), clean.times(table, index)
-    x = np.column_stack([np.concatenate([a, b]), np.ones(len(a) + len(b))]).astype(float)
-    y = np.concatenate([np.ones(len(a)), -np.ones(len(b))])
-    w = _newton_svm(x, y, np.where(y > 0, COST * min(10.0, max(1.0, len(b) / len(a))), COST))
+    n_toxic, n_clean = len(a), len(b)
+    x = np.ones((n_toxic + n_clean, table.shape[1] + 1))  # filled in place: no second copy is held
+    x[:n_toxic, :-1], x[n_toxic:, :-1] = a, b
+    del a, b
+    y = np.concatenate([np.ones(n_toxic), -np.ones(n_clean)])
+    w = _newton_svm(x, y, np.where(y > 0, COST * min(10.0, max(1.0, n_clean / n_toxic)), COST))
     weights = np.zeros(SYMBOLS**3, dtype=np.float32)
     weights[codes] = table @ w[:-1]
     return Model(weights, w[-1])
