@@ -535,8 +535,7 @@ def image_validate(spark, d):
     """CUR-01, AGG-19, FN-23 on pixels: vectors as small gray images, some blank and some cut."""
     from quern.operators import imaging
 
-    pixel = lambda x: F.least(F.greatest(F.floor((x + 1) * 127.5), F.lit(0)), F.lit(255))
-    digits = F.array_join(F.transform("embedding", lambda x: F.lpad(F.hex(F.when(F.col("vec_id") % 25 == 0, 0).otherwise(pixel(x))), 2, "0")), "")
+    digits = F.array_join(F.transform(b.pixels(), lambda p: F.lpad(F.hex(F.when(F.col("vec_id") % 25 == 0, 0).otherwise(p)), 2, "0")), "")
     bad = F.col("vec_id") % 40 == 3
     images = table(spark, d, "embeddings").select(
         F.concat(F.lit("img/"), F.col("vec_id").cast("string")).alias("path"), F.when(bad, -1).otherwise(8).alias("width"), F.when(bad, -1).otherwise(8).alias("height"), F.lit(1).alias("channels"), F.unhex(digits).alias("data")

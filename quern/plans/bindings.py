@@ -154,8 +154,9 @@ def payload():
 
 
 def pixels() -> Column:
-    """embeddings as gray pixels from 0 to 255, eight rows of eight."""
-    return F.transform("embedding", lambda x: F.least(F.greatest(F.floor((x + 1) * 127.5), F.lit(0)), F.lit(255)))
+    """embeddings as gray pixels from 0 to 255, eight rows of eight. The 1 is a float, so that floats are
+    added as floats, as other engines do; Spark would widen them beside a whole number."""
+    return F.transform("embedding", lambda x: F.least(F.greatest(F.floor((x + F.lit(1).cast("float")) * 127.5), F.lit(0)), F.lit(255)))
 
 
 PIXELS = "pixels AS (SELECT vec_id, label, list_transform(embedding, lambda x: least(greatest(floor((x + 1) * 127.5e0), 0), 255)::DOUBLE) AS p FROM embeddings)"

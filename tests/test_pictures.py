@@ -110,3 +110,15 @@ def test_resampling(spark, size, wanted):
     assert got[2].r is None or all(v is None for v in got[2].r)
     ramp = np.array(pixels.weights(8, 4)) @ np.arange(8.0)
     assert ramp[1:3] == pytest.approx([2.5, 4.5])  # the middle of each pair
+
+
+def test_pixels_add_floats_as_floats(spark, tmp_path):
+    """Three entries that come out one lower where 1 is added to them as doubles."""
+    import duckdb
+
+    entries = [-0.03529411926865578, 0.011764705181121826, -0.019607845693826675, -1.0, 1.0, 2.0]
+    where = str(tmp_path / "e")
+    spark.createDataFrame([(1, 0, entries)], "vec_id bigint, label int, embedding array<float>").write.parquet(where)
+    got = spark.read.parquet(where).select(bindings.pixels().alias("p")).first().p
+    want = duckdb.sql(f"WITH embeddings AS (FROM '{where}/*.parquet'), {bindings.PIXELS} SELECT p FROM pixels").fetchone()[0]
+    assert got == want == [123, 129, 125, 0, 255, 255]
