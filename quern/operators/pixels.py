@@ -47,11 +47,25 @@ def moments(images: DataFrame, pixels: str) -> DataFrame:
     return one.select(F.col("m.n").cast("long").alias("n"), F.when(some, F.col("m.mean")).alias("mean"), F.when(some, F.sqrt(F.col("m.m2") / F.col("m.n"))).alias("std"))
 
 
+def running_deviation(pixels: Column) -> Column:
+    """The population deviation by Welford's steps, one pixel after the other, as SQL engines take them:
+    where the exact value lies in the middle of two rounded ones, other sums fall to the other side."""
+
+    def step(s: Column, x: Column) -> Column:
+        n, shift = s["n"] + 1.0, x - s["mean"]
+        mean = s["mean"] + shift / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (s["m2"] + (x - mean) * shift).alias("m2"))
+
+    fine = F.transform(F.filter(pixels, lambda p: p.isNotNull()), lambda p: p.cast("double"))
+    none = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(fine, none, step, lambda s: F.when(s["n"] > 0, F.sqrt(s["m2"] / s["n"])))
+
+
 def statistics(images: DataFrame, key: str, pixels: str, places: int = 2) -> DataFrame:
     """(``key``, ``min``, ``max``, ``mean``, ``std``) of each image, the last two rounded; null without pixels."""
     m = F.col("m")
-    return images.select(key, F.array_min(pixels).cast("double").alias("min"), F.array_max(pixels).cast("double").alias("max"), own_moments(F.col(pixels)).alias("m")).select(
-        key, "min", "max", rounded(m["mean"], places).alias("mean"), rounded(F.sqrt(m["m2"] / m["n"]), places).alias("std")
+    return images.select(key, F.array_min(pixels).cast("double").alias("min"), F.array_max(pixels).cast("double").alias("max"), own_moments(F.col(pixels)).alias("m"), running_deviation(F.col(pixels)).alias("std")).select(
+        key, "min", "max", rounded(m["mean"], places).alias("mean"), rounded(F.col("std"), places).alias("std")
     )
 
 

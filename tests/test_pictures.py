@@ -122,3 +122,14 @@ def test_pixels_add_floats_as_floats(spark, tmp_path):
     got = spark.read.parquet(where).select(bindings.pixels().alias("p")).first().p
     want = duckdb.sql(f"WITH embeddings AS (FROM '{where}/*.parquet'), {bindings.PIXELS} SELECT p FROM pixels").fetchone()[0]
     assert got == want == [123, 129, 125, 0, 255, 255]
+
+
+def test_deviation_in_the_middle_of_two_rounded_ones(spark):
+    """The exact deviation is 15.875; SQL engines' running sums stay just below."""
+    import duckdb
+
+    image = [100, 140, 145, 139, 153, 137, 127, 129, 134, 108, 132, 131, 93, 113, 143, 110, 115, 129, 131, 134, 135, 108, 118, 97, 146, 125, 127, 140, 125, 125, 153, 129]
+    image += [116, 95, 131, 132, 132, 163, 141, 108, 117, 130, 110, 121, 116, 139, 132, 89, 123, 130, 114, 121, 153, 144, 129, 108, 116, 121, 115, 129, 116, 148, 107, 155]
+    got = pixels.statistics(spark.createDataFrame([(1, image)], "k int, p array<int>"), "k", "p").first()
+    want = duckdb.execute("SELECT floor(list_stddev_pop(?::DOUBLE[]) * 100e0 + 0.5) / 100e0", [image]).fetchone()[0]
+    assert got.std == want == 15.87
