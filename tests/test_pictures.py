@@ -120,7 +120,7 @@ def test_pixels_add_floats_as_floats(spark, tmp_path):
     where = str(tmp_path / "e")
     spark.createDataFrame([(1, 0, entries)], "vec_id bigint, label int, embedding array<float>").write.parquet(where)
     got = spark.read.parquet(where).select(bindings.pixels().alias("p")).first().p
-    want = duckdb.sql(f"WITH embeddings AS (FROM '{where}/*.parquet'), {bindings.PIXELS} SELECT p FROM pixels").fetchone()[0]
+    want = duckdb.execute(f"WITH embeddings AS (SELECT * FROM '{where}/*.parquet'), {bindings.PIXELS} SELECT p FROM pixels").fetchone()[0]
     assert got == want == [123, 129, 125, 0, 255, 255]
 
 
