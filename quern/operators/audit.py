@@ -73,10 +73,8 @@ def verify(found: DataFrame, n_records: DataFrame, seq: str = "seq", root: tuple
 def inclusion(log: DataFrame, payload: Column, order: str = "seq") -> DataFrame:
     """(order, leaf, path, root) of each row: what shows that the row is part of the log with that
     root, without the other rows (see ``merkle.climbed``)."""
-    leaves = _leaves(log, payload, order)
-    paths = merkle.inclusion_paths(leaves)
-    joined = leaves.join(paths, "pos")
-    return joined.select((F.col("pos") + 1).alias(order), F.col("hash").alias("leaf"), "path", merkle.climbed(F.col("hash"), F.col("path")).alias("root"))
+    paths = merkle.with_paths(_leaves(log, payload, order))
+    return paths.select((F.col("pos") + 1).alias(order), F.col("hash").alias("leaf"), "path", merkle.climbed(F.col("hash"), F.col("path")).alias("root"))
 
 
 def directory_diff(before: DataFrame, after: DataFrame, path: str = "rel_path") -> DataFrame:

@@ -483,8 +483,7 @@ def audit_chain_verify(spark, d):
  FROM leaves l LEFT JOIN steps USING (pos) GROUP BY pos, l.hash""")
 def audit_inclusion(spark, d):
     """AUD-03: for every record the hashes that show it to be part of the log."""
-    events = table(spark, d, "events").select((F.col("event_id") + 1).alias("seq"), "user_id", "event_type", "props")
-    return audit.inclusion(events, b.payload()).withColumn("path", F.array_join("path", ","))
+    return audit.inclusion(b.logged(spark, d), b.payload()).withColumn("path", F.array_join("path", ","))
 
 
 @query(f"""WITH {INV}, {OLD} SELECT coalesce(i.rel_path, o.rel_path) AS rel_path, CASE WHEN o.rel_path IS NULL THEN 'created' WHEN i.rel_path IS NULL THEN 'deleted' ELSE 'modified' END AS change FROM inv i FULL JOIN old o ON i.rel_path = o.rel_path

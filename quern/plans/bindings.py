@@ -141,12 +141,16 @@ assignment AS (SELECT {group}, {stratum}, CASE WHEN place <= round_even(n * 0.7e
 ASSIGNMENT = STRATA + ",\n" + split_sql("strata", "source", "any_positive")
 
 
+def logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as an audit log, numbered from 1."""
+    return table(spark, sf_dir, "events").select((F.col("event_id") + 1).alias("seq"), "user_id", "event_type", "props")
+
+
 def chained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as an audit log with a hash chain."""
     from quern.operators import audit
 
-    events = table(spark, sf_dir, "events").select((F.col("event_id") + 1).alias("seq"), "user_id", "event_type", "props")
-    return audit.linked(events, payload(), "seq")
+    return audit.linked(logged(spark, sf_dir), payload(), "seq")
 
 
 def payload():

@@ -79,6 +79,27 @@ def test_an_edit_that_was_resealed_is_found(spark):
     assert verdict(spark, forged)[0] and verdict(spark, forged, (forged[-1][3], honest[-1][3])) == (False, None, "root mismatch")
 
 
+def plan(spark, df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins as of tables too large for a broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_paths_stay_where_they_are_made(spark, shuffled):
+    log = spark.createDataFrame([(i, f"p{i}") for i in range(1, 301)] + [(7, "again")], "seq long, payload string")
+    found = audit.inclusion(log, F.col("payload"))
+    assert "SortMergeJoin" not in plan(spark, found)
+    rows = found.collect()
+    root = tree([max(sha(f"leaf\np{i}"), sha("leaf\nagain")) if i == 7 else sha(f"leaf\np{i}") for i in range(1, 301)])
+    assert len(rows) == 301 and sum(r.root != root for r in rows) == 1 and {r.seq for r in rows if r.root != root} == {7}
+
+
 # folders ------------------------------------------------------------------------------------------
 
 FILES = "rel_path string, size_bytes long, mtime int"
