@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quern.functions.keys import pseudonym, rounded
-from quern.functions.storage import delete_at_end, shared_dir
+from quern.functions.storage import delete_at_end, materialize, shared_dir
 from quern.operators import active, audit, evaluation, experiments, metrics, release
 from quern.plans import bindings as b
 from quern.plans.bindings import ASSIGNMENT, CHAIN, DECISIONS, FRAME, INV, OLD, SALT, SEED, STRATA, TREE, split_sql, table
@@ -470,10 +470,12 @@ FORGED = """forged AS (SELECT l.pos, sha256('leaf' || chr(10) || concat_ws('|',
 def audit_chain_verify(spark, d):
     """AUD-03, WIN-03: the first break of a log in which an edited row and the next were sealed anew,
     and a later row removed. The two fit each other; the row after them doesn't."""
-    edited = b.chained(spark, d).withColumn("event_type", F.when(F.col("seq") == 501, "edited").otherwise(F.col("event_type")))
-    sealed = audit.linked(edited.drop("prev_hash", "record_hash"), b.payload(), "seq").select("seq", F.col("prev_hash").alias("p"), F.col("record_hash").alias("r")).filter("seq in (501, 502)")
-    both = edited.join(F.broadcast(sealed), "seq", "left")
+    edit = lambda log: log.withColumn("event_type", F.when(F.col("seq") == 501, "edited").otherwise(F.col("event_type")))
+    # a row's hashes rest on the rows up to it, so no later one is needed for sealing 501 and 502
+    sealed = audit.linked(edit(b.logged(spark, d).filter("seq <= 502")), b.payload(), "seq").select("seq", F.col("prev_hash").alias("p"), F.col("record_hash").alias("r")).filter("seq in (501, 502)")
+    both = edit(b.chained(spark, d)).join(F.broadcast(sealed), "seq", "left")
     log = both.select("seq", "user_id", "event_type", "props", F.coalesce("p", "prev_hash").alias("prev_hash"), F.coalesce("r", "record_hash").alias("record_hash")).filter("seq <> 700")
+    log = materialize(log, "forged")  # it is read several times
     return audit.verify(audit.breaks(log, b.payload()), log.agg(F.count("*").alias("n_records")))
 
 

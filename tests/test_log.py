@@ -100,6 +100,19 @@ def test_paths_stay_where_they_are_made(spark, shuffled):
     assert len(rows) == 301 and sum(r.root != root for r in rows) == 1 and {r.seq for r in rows if r.root != root} == {7}
 
 
+def test_rows_stay_in_their_stretch(spark, shuffled):
+    """A log over two stretches: edits and missing rows at the border, and a repeated row."""
+    honest = sealed(spark, [f"p{i}" for i in range(1, 301)])
+    log = spark.createDataFrame(honest, "seq long, payload string, prev_hash string, record_hash string")
+    assert "SortMergeJoin" not in plan(spark, audit.linked(log.select("seq", "payload"), F.col("payload"), "seq"))
+    assert "SortMergeJoin" not in plan(spark, audit.breaks(log, F.col("payload")))
+    assert verdict(spark, honest) == (True, None, None)
+    for gone in (255, 256, 257):
+        assert verdict(spark, [r for r in honest if r[0] != gone]) == (False, gone + 1, "sequence gap")
+    assert verdict(spark, [*honest, honest[256]]) == (False, 257, "sequence repeated")
+    assert verdict(spark, [*honest[:256], (257, "edited", *honest[256][2:]), *honest[257:]]) == (False, 257, "record_hash mismatch")
+
+
 # folders ------------------------------------------------------------------------------------------
 
 FILES = "rel_path string, size_bytes long, mtime int"
