@@ -119,11 +119,17 @@ def trace(start: DataFrame, edges: DataFrame, depth: int = MAX_DEPTH) -> DataFra
     """(node, level): everything that ``start`` (node) rests on over ``edges`` (child, parent), each
     at its least level, up to ``depth``. Rounds end when one finds nothing new.
 
-    Every round's new nodes are written, so that no round works out an earlier one again.
+    Every round's new nodes are written, so that no round works out an earlier one again. A node's
+    edges are of use once, so a round writes the edges that it didn't use for the next one; equal
+    edges fall together there.
     """
+    left = edges.select("child", "parent").filter("child is not null")
     front = seen = materialize(start.select("node").distinct().withColumn("level", F.lit(0)), "trace")
     for level in range(1, depth + 1):
-        above = front.join(edges, front.node == edges.child).select(F.col("parent").alias("node")).distinct()
+        met = left.join(front.select(F.col("node").alias("child"), F.lit(True).alias("met")), "child", "left")
+        # of used edges the parents remain
+        step = materialize(met.select(F.when(F.col("met").isNull(), F.col("child")).alias("child"), "parent").distinct(), "trace-edges")
+        left, above = step.filter("child is not null"), step.filter("child is null").select(F.col("parent").alias("node"))
         front = materialize(above.join(seen.select("node"), "node", "left_anti").withColumn("level", F.lit(level)), "trace")
         if front.isEmpty():
             break

@@ -113,6 +113,22 @@ def test_rows_stay_in_their_stretch(spark, shuffled):
     assert verdict(spark, [*honest[:256], (257, "edited", *honest[256][2:]), *honest[257:]]) == (False, 257, "record_hash mismatch")
 
 
+def test_a_trace_uses_edges_once(spark, monkeypatch):
+    handed = []
+    written = audit.materialize
+
+    def recorded(df, name):
+        table = written(df, name)
+        if name == "trace-edges":
+            handed.append(table.filter("child is not null").count())
+        return table
+
+    monkeypatch.setattr(audit, "materialize", recorded)
+    edges = spark.createDataFrame([("a", "b"), ("a", "b"), ("a", "c"), ("b", "d"), ("b", "d"), ("d", "a"), ("x", "y"), (None, "z")], "child string, parent string")
+    got = {(r.node, r.level) for r in audit.trace(spark.createDataFrame([("a",)], "node string"), edges).collect()}
+    assert got == {("a", 0), ("b", 1), ("c", 1), ("d", 2)} and handed == [3, 2, 1]
+
+
 # folders ------------------------------------------------------------------------------------------
 
 FILES = "rel_path string, size_bytes long, mtime int"
