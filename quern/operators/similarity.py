@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quern.functions.storage import materialize
+
 #: Vectors compared as one block where bands would be too narrow.
 BLOCK = 1024
+#: Pairs of blocks, and pairs with a vector, that one task sorts.
+BLOCK_PAIRS, PAIRS = 256, 1 << 16
 
 
 def difference_bits(vector: Column) -> Column:
@@ -45,6 +49,13 @@ def bands(bits: Column, n_bits: int, radius: int) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("band"), F.shiftrightunsigned(bits, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1).cast("long")).alias("part")) for k, (lo, hi) in enumerate(cuts)])
 
 
+def _dealt(rows: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """``rows`` dealt by ``keys`` to ``parts`` partitions, or to as many as Spark would take if those are
+    more, and not put together again, so that a task's share stays small where the number of pairs
+    grows with the square of the rows."""
+    return rows.repartition(max(parts, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def near_pairs(rows: DataFrame, key: str, group: str, bits: str, radius: int, n_bits: int = 63, narrow: int = 12) -> DataFrame:
     """(a, b, hamming): pairs a < b of different groups within the radius, each once.
 
@@ -63,16 +74,21 @@ def near_pairs(rows: DataFrame, key: str, group: str, bits: str, radius: int, n_
         ids = F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")
         left = dealt.select("*", F.explode(F.filter(ids, lambda i: i >= F.col("block"))).alias("other")).select("k", "g", "x", F.col("block").alias("p"), F.col("other").alias("q"), (F.col("block") == F.col("other")).alias("same"))
         right = dealt.select("*", F.explode(F.filter(ids, lambda i: i <= F.col("block"))).alias("other")).select("k", "g", "x", F.col("other").alias("p"), F.col("block").alias("q"))
-        pairs = left.alias("l").join(right.alias("r"), ["p", "q"]).filter("not l.same or l.k < r.k")
+        parts = -(-blocks * (blocks + 1) // (2 * BLOCK_PAIRS))
+        pairs = _dealt(left, parts, "p", "q").alias("l").join(_dealt(right, parts, "p", "q").alias("r"), ["p", "q"]).filter("not l.same or l.k < r.k")
     near = hamming(F.col("l.x"), F.col("r.x"))
     found = pairs.filter((F.col("l.g") != F.col("r.g")) & (F.col("l.k") != F.col("r.k")) & (near <= radius))
     return found.select(F.least("l.k", "r.k").alias("a"), F.greatest("l.k", "r.k").alias("b"), near.alias("hamming")).distinct()
 
 
 def confirm(pairs: DataFrame, rows: DataFrame, key: str, vector: str, least: float) -> DataFrame:
-    """Pairs with ``correlation``, those from ``least`` on; compared before any rounding."""
+    """Pairs with ``correlation``, those from ``least`` on; compared before any rounding. The pairs are
+    written and counted first, as they are many more than rows, and carry a vector each."""
+    pairs = materialize(pairs, "near-pairs")
+    parts = -(-pairs.count() // PAIRS)
     z = rows.select(F.col(key).alias("k"), standardized(F.col(vector)).alias("z"))
-    joined = pairs.join(z.select(F.col("k").alias("a"), F.col("z").alias("za")), "a").join(z.select(F.col("k").alias("b"), F.col("z").alias("zb")), "b")
+    first = _dealt(pairs, parts, "a").join(z.select(F.col("k").alias("a"), F.col("z").alias("za")), "a")
+    joined = _dealt(first, parts, "b").join(z.select(F.col("k").alias("b"), F.col("z").alias("zb")), "b")
     return joined.select("a", "b", "hamming", correlation(F.col("za"), F.col("zb")).alias("correlation")).filter(F.col("correlation") >= least)
 
 

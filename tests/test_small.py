@@ -102,3 +102,27 @@ def test_the_map_of_pseudonyms(spark, tmp_path):
     pseudonyms.update(spark.createDataFrame([("50",), ("51",)], "id string"), root, "id", "salt")
     got = {r.identifier: r.pseudonym for r in pseudonyms.read(spark, root).collect()}
     assert set(got) == {"49", "50", "51"} and all(p.startswith("PAT-") and len(p) == 16 for p in got.values())
+
+
+def test_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    """Many near pairs go to as many tasks as they need, with the same result."""
+    from quern.operators import similarity
+
+    rows = spark.createDataFrame([(k, k % 3, [float((k * j) % 7) for j in range(64)]) for k in range(60)], "k long, g int, v array<double>")
+    rows = rows.withColumn("bits", similarity.difference_bits(F.col("v")))
+    found = lambda: similarity.confirm(similarity.near_pairs(rows, "k", "g", "bits", 16), rows, "k", "v", 0.3)
+    want = sorted(map(tuple, found().collect()))
+    monkeypatch.setattr(similarity, "BLOCK", 8)
+    monkeypatch.setattr(similarity, "BLOCK_PAIRS", 4)
+    monkeypatch.setattr(similarity, "PAIRS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = found()
+        assert "hashpartitioning(b#" in (plan := got._jdf.queryExecution().executedPlan().toString()) and f", {-(-similarity_pairs(similarity, rows) // 10)}), REPARTITION_BY_NUM" in plan
+        assert sorted(map(tuple, got.collect())) == want and len(want) > 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def similarity_pairs(similarity, rows):
+    return similarity.near_pairs(rows, "k", "g", "bits", 16).count()
