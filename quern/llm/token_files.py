@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,6 +23,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from quern.llm.storage import delete_at_end, shared_dir
@@ -34,9 +34,11 @@ END = 2
 CHUNK = 1 << 16
 #: Characters that are cut into words at a time, as long as there is white space to cut at.
 SEGMENT = 1 << 18
-#: Words that are looked up at a time, and rows of a batch that are taken together.
-AT_ONCE, ROWS = 50_000, 256
-#: Entries of a worker's table of words, and their characters; it is emptied when either is passed.
+#: Bytes of texts that are taken together; a longer text is taken alone.
+AT_ONCE = 2 << 20
+#: Words that the library gets at a time.
+NEW = 20_000
+#: Entries of a worker's table of words, and their characters; what isn't in use goes when either is passed.
 WORDS, WORD_CHARS = 400_000, 8 << 20
 #: How the files are laid out.
 LAYOUT = {
@@ -51,30 +53,46 @@ LAYOUT = {
 }
 
 
-#: A mark behind a Latin letter that ends what stands between blanks; the pattern cuts there in any case.
-STOP = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,;:!?](?![^ \n])")
+#: Letters that composing leaves alone, each with one lower-case letter; words of them are one piece of the pattern.
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(f"[{LATIN}]+")
+#: Marks behind a Latin letter that end what stands between blanks; the pattern cuts there in any case. Marks of
+#: special tokens and the apostrophe aren't among them.
+STOP = rf"([{LATIN}])([!-&(-/:;=?@\[-`{{}}~]+)([ \n]|$)"
+#: Stands as a line between words that the library gets as one text.
+MARK = "\x01"
 
 
 class Encoder:
     """The library behind a table of words: what stands between blanks is encoded once and remembered.
 
-    Words of letters alone go to the library as lines of one text, since each is one piece of its
-    pattern and a piece's last id is one that ends a word; others go one by one.
+    Words of Latin letters alone need no more of the library's steps than bytes and merges once they are
+    in lower case, and a word's last id is one that ends a word. Others get all steps, with a mark
+    between words. Either go to the library as lines of one text.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_file(path)
+        # both share the model; a letter of ASCII stands for its byte
+        self.ascii, self.latin = Tokenizer(self.model.model), Tokenizer(self.model.model)
+        lines, spelled = pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.ascii.pre_tokenizer, self.latin.pre_tokenizer = lines, pre_tokenizers.Sequence([lines, spelled])
         vocab = self.model.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.mark = self._encode(self.model, MARK)
         self._forget()
 
+    @staticmethod
+    def _encode(model, text: str) -> np.ndarray:
+        return np.array(model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
+
     def _forget(self) -> None:
         self.words: dict[str | None, int] = {None: 0}  # None stands for a text's end
-        self.first, self.length = np.zeros(1 << 12, np.int64), np.ones(1 << 12, np.int64)
+        self.first, self.length = np.zeros(1 << 12, np.int32), np.ones(1 << 12, np.int32)
         self.pool = np.full(1 << 14, END, np.int32)
         self.chars, self.used = 0, 1
 
@@ -92,34 +110,63 @@ class Encoder:
         self.chars += sum(map(len, words))
 
     def _learn(self, words: list[str]) -> None:
-        letters = [w for w in words if unicodedata.normalize("NFC", w).lower().isalpha()]
-        ids = np.array(self.model.encode_batch_fast(["\n".join(letters)], add_special_tokens=False)[0].ids, dtype=np.int32)
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) == len(letters):
-            self._put(letters, ids, np.diff(ends, prepend=0))
+        letters = list(filter(PLAIN.fullmatch, words))
+        for model, some in (self.ascii, [w for w in letters if w.isascii()]), (self.latin, [w for w in letters if not w.isascii()]):
+            ids = self._encode(model, "\n".join(some).lower())
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                self._put(some, ids, np.diff(ends, prepend=0))
+        words = [w for w in words if w not in self.words]
+        lines = [w for w in words if MARK not in w]
+        ids = self._encode(self.model, "".join(f"{w}\n{MARK}\n" for w in lines))
+        ends = np.flatnonzero(ids == self.mark[0])
+        if len(self.mark) == 1 and len(ends) == len(lines):
+            self._put(lines, np.delete(ids, ends), np.diff(ends, prepend=-1) - 1)
             words = [w for w in words if w not in self.words]
         if words:
             found = [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
             self._put(words, np.fromiter(chain.from_iterable(found), np.int32), np.array([len(i) for i in found], dtype=np.int64))
 
-    def ids(self, words: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words and text ends, and where among them texts end."""
-        place = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+    def _at(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at some places of the table, and after how many ids each place ends."""
+        length = self.length[place]
+        after = np.cumsum(length, dtype=np.int32)
+        at = np.repeat(self.first[place] - after + length, length)
+        at += np.arange(len(at), dtype=np.int32)
+        return self.pool[at], after
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Where the table has each of some distinct words. A full table keeps those of them that it has."""
+        place = np.fromiter(map(self.words.get, words, repeat(-1)), np.int32, len(words))
         unknown = np.flatnonzero(place < 0).tolist()
         if unknown and (len(self.words) > WORDS or self.chars > WORD_CHARS):
+            known = np.flatnonzero(place >= 0)
+            ids, after = self._at(place[known])
             self._forget()
-            unknown = [k for k, w in enumerate(words) if w is not None]
+            self._put([words[k] for k in known.tolist()], ids, np.diff(after, prepend=0))
+            place[known] = np.arange(1, len(known) + 1)
         if unknown:
-            self._learn(list(dict.fromkeys(words[k] for k in unknown)))
+            for k in range(0, len(unknown), NEW):
+                self._learn([words[j] for j in unknown[k : k + NEW]])
             place[unknown] = [self.words[words[k]] for k in unknown]
-        length = self.length[place]
-        after = np.cumsum(length)
-        return self.pool[np.repeat(self.first[place] - after + length, length) + np.arange(length.sum())], after[place == 0]
+        return place
+
+    def ids(self, words: pa.Array | list[str], stops: np.ndarray | tuple = ()) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, and where among them texts end. ``stops``: the number of words before each text's end."""
+        coded = pa.array(words, pa.string()).dictionary_encode() if isinstance(words, list) else words.dictionary_encode()
+        place = self._places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        place = np.insert(place, np.asarray(stops, dtype=np.int64), 0)
+        ids, after = self._at(place)
+        return ids, after[place == 0].astype(np.int64)
+
+
+def cut_all(texts: pa.Array) -> pa.ListArray:
+    """For each text, what stands between white space of ASCII."""
+    return pc.ascii_split_whitespace(pc.replace_substring_regex(texts, STOP, r"\1 \2\3"))
 
 
 def cut(text: str) -> list[str]:
-    """What stands between blanks and line ends."""
-    return STOP.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+    return cut_all(pa.array([text]))[0].as_py()
 
 
 @lru_cache(maxsize=2)
@@ -144,25 +191,49 @@ def segments(text: str, limit: int = SEGMENT) -> Iterator[str]:
     yield text[at:]
 
 
-def encode(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of texts one after the other, each with the end id, and where each ends."""
-    model, parts, stops, words, total = encoder(path), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [], 0
+def ranges(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours with ``limit`` in all at most, or of a single one that has more."""
+    after, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < len(after):
+        stop = int(np.searchsorted(after, after[at] - sizes[at] + limit, side="right"))
+        yield at, max(stop, at + 1)
+        at = max(stop, at + 1)
 
-    def flush() -> None:
-        nonlocal total
-        ids, ends = model.ids(words)
+
+def sizes(texts: pa.Array) -> np.ndarray:
+    """Bytes of each text."""
+    return pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def stretches(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Neighbouring texts, or segments where one is long, of about ``AT_ONCE``, and which of them end a text."""
+    if sizes(texts).max(initial=0) <= SEGMENT:
+        for a, b in ranges(sizes(texts), AT_ONCE):
+            yield texts.slice(a, b - a), np.ones(b - a, bool)
+        return
+    some, last, held = [], [], 0
+    for text in texts:
+        for piece in segments(text.as_py(), SEGMENT):
+            if held > AT_ONCE:
+                yield pa.array(some, pa.string()), np.array(last)
+                some, last, held = [], [], 0
+            some.append(piece)
+            held += len(piece)
+            last.append(False)
+        last[-1] = True
+    yield pa.array(some, pa.string()), np.array(last)
+
+
+def encode(texts: pa.Array | list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts one after the other, each with the end id, and where each ends."""
+    model, parts, stops, total = encoder(path), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+    texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+    for some, last in stretches(texts):
+        words = cut_all(some)
+        ids, ends = model.ids(words.flatten(), words.offsets.to_numpy()[1:][last])
         parts.append(ids)
         stops.append(ends + total)
         total += len(ids)
-        words.clear()
-
-    for text in texts:
-        for piece in segments(text):
-            words += cut(piece)
-            if len(words) > AT_ONCE:
-                flush()
-        words.append(None)
-    flush()
     return np.concatenate(parts), np.concatenate(stops)
 
 
@@ -177,9 +248,9 @@ def write(docs: DataFrame, where: str, path: str, key: str = "doc_id", text: str
 
         part, place, first = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                some = batch.slice(at, ROWS)
-                ids, stops = encode(some.column(1).to_pylist(), path)
+            for at, after in ranges(sizes(batch.column(1)), AT_ONCE):
+                some = batch.slice(at, after - at)
+                ids, stops = encode(some.column(1), path)
                 rows, begin = [], 0
                 for k, stop in enumerate(stops.tolist()):
                     cuts = range(begin, stop, CHUNK)

@@ -297,6 +297,53 @@ def test_the_table_of_words_is_emptied(words, monkeypatch):
         assert len(model.words) <= 20 + 50
 
 
+def test_a_word_is_looked_up_once_and_marks_apart(words):
+    """op13's CPU: what it costs follows the distinct words of a stretch, marks behind words make no further ones."""
+    asked = []
+
+    class Table(dict):
+        def get(self, word, other=None):
+            asked.append(word)
+            return super().get(word, other)
+
+    model = token_files.Encoder(WORDS)
+    model.words = Table(model.words)
+    text = "Élan vital*** and, élan\tvital%%% and: " * 1000
+    assert model.ids(token_files.cut(text))[0].tolist() == words.encode(text, add_special_tokens=False).ids
+    assert set(asked) <= {"Élan", "élan", "vital", "and", "***", "%%%", ",", ":", ""} and len(asked) == len(set(asked))
+
+
+def test_a_full_table_keeps_the_words_in_use(words, monkeypatch):
+    monkeypatch.setattr(token_files, "WORDS", 4)
+    model, learnt = token_files.Encoder(WORDS), []
+    model.ids(["antidisestablishment", "b", "naïveté", "d", "9,5"])
+    monkeypatch.setattr(model, "_learn", lambda w, learn=model._learn: (learnt.extend(w), learn(w)))
+    said = ["naïveté", "new", "9,5", "antidisestablishment", "new"]
+    assert model.ids(said)[0].tolist() == words.encode(" ".join(said), add_special_tokens=False).ids
+    assert learnt == ["new"] and len(model.words) == 5
+
+
+def test_texts_of_awkward_pieces(words):
+    rng = random.Random(5)
+    pieces = ["a", "Word", "É", "ß", "ÿ", "×", "İ", "Σ", "'", "'s", "'LL", "’", "<|endoftext|>", "<|startoftext|>", "<", "|", ">", "|>", *"!\"#$%&()*+,-./:;=?@[\\]^_`{}~", "***", "\x01", "\x00", "\u0301", "\u0338", "9", "½", "日本"]
+    blanks = ["", "", "", " ", "  ", "\n", "\t", "\x0b", "\x0c\r", "\x1c", "\x85", "\u00a0"]
+    texts = ["".join(rng.choice(pieces) + rng.choice(blanks) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    ids, stops = token_files.encode(texts, WORDS)
+    got = [i.tolist() for i in np.split(ids, stops[:-1])]
+    assert got == [[*words.encode(t, add_special_tokens=False).ids, token_files.END] for t in texts]
+
+
+@pytest.mark.parametrize("segment, at_once", [(9, 30), (9, 1), (1000, 30)])
+def test_texts_in_many_stretches(words, monkeypatch, segment, at_once):
+    monkeypatch.setattr(token_files, "SEGMENT", segment)
+    monkeypatch.setattr(token_files, "AT_ONCE", at_once)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["don't", "Élan,", "x", "12,5", "日本***", ""]) for _ in range(rng.choice([0, 1, 3, 40]))) for _ in range(60)]
+    ids, stops = token_files.encode(texts, WORDS)
+    got = [i.tolist() for i in np.split(ids, stops[:-1])]
+    assert got == [[*words.encode(t, add_special_tokens=False).ids, token_files.END] for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.binary(max_size=40), max_size=6))
 def test_checksums_are_joined(parts):
